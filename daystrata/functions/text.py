@@ -34,7 +34,7 @@ def name_date(
     name: Column, pattern: str = FILE_DATE_PATTERN, fmt: str = FILE_DATE_FORMAT
 ) -> Column:
     """The date inside a file name or path, null where there is none."""
-    return F.to_date(F.try_to_timestamp(F.regexp_extract(name, pattern, 1), F.lit(fmt)))
+    return F.try_to_date(F.regexp_extract(name, pattern, 1), fmt)
 
 
 def derive_date(col: Column | str) -> Column:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from daystrata.functions import lenient_cast, quoted
 from daystrata.operators.cleaning import targets
 from daystrata.operators.shaping import label, reorder_last_first
-from daystrata.sources.files import list_files, reader
+from daystrata.sources.files import decoded, list_files, reader
 
 DAY_DIRECTORY = r"(year=[^/]+/month=[^/]+/day=[^/]+)/"
 
@@ -71,18 +71,14 @@ def file_row_counts(
     """
     pattern = f"*{extension}"
     rows = reader(spark, pattern).format(fmt).option("header", header).load(path)
-    files = list_files(spark, path, pattern)
-    counted = rows.select(F.col("_metadata.file_path").alias("file_path"), F.lit(1).alias("n"))
-    named = files.select("file_path", F.lit(0).alias("n"))
+    counted = rows.select("_metadata.file_path", "_metadata.file_name", F.lit(1).alias("n"))
+    listed = list_files(spark, path, pattern).select("file_path", "file_name", F.lit(0).alias("n"))
+    # Names are cut from the few per-file sums, not from every row's path.
+    files = counted.unionAll(listed).groupBy("file_path", "file_name").agg(F.sum("n").alias("n"))
     if name == "file":
-        key, base = [F.col("file_path")], F.regexp_extract("file_path", r"([^/]*)$", 1)
-    else:
-        base = F.regexp_extract("file_path", DAY_DIRECTORY if name == "day" else name, 1)
-        key = [base.alias("filename")]
-    total = counted.unionAll(named).groupBy(*key).agg(F.sum("n").alias("RowCount"))
-    return total.select(
-        (F.url_decode(base).alias("filename") if name == "file" else F.col("filename")), "RowCount"
-    )
+        return files.select(decoded("file_name").alias("filename"), F.col("n").alias("RowCount"))
+    cut = F.regexp_extract(decoded("file_path"), DAY_DIRECTORY if name == "day" else name, 1)
+    return files.groupBy(cut.alias("filename")).agg(F.sum("n").alias("RowCount"))
 
 
 def row_count_report(

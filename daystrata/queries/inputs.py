@@ -151,12 +151,14 @@ def zipped(rows: DataFrame, stamp: str) -> DataFrame:
     def zip_batches(batches):
         import csv
         import io
-        import uuid
         import zipfile
 
         import pyarrow as pa
+        from pyspark import TaskContext
 
-        for batch in batches:
+        # A task that runs again must give its archives the same names.
+        task = TaskContext.get().partitionId()
+        for number, batch in enumerate(batches):
             texts: dict[str, io.StringIO] = {}
             for row in batch.to_pylist():
                 if row[stamp] not in texts:
@@ -169,7 +171,7 @@ def zipped(rows: DataFrame, stamp: str) -> DataFrame:
                 archive.writestr("readme.csv", "not,an,observation\n1,2,3\n")
                 for name, text in texts.items():
                     archive.writestr(f"weather.{name}.csv", text.getvalue())
-            path = f"{uuid.uuid4().hex}.zip"
+            path = f"task{task}-{number}.zip"
             yield pa.RecordBatch.from_pydict({"path": [path], "content": [packed.getvalue()]})
 
     return rows.mapInArrow(zip_batches, "path string, content binary")

@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 # A table with one short row per file or date may be broadcast up to this many rows (some 10 MB).
@@ -31,6 +31,11 @@ def list_files(spark: SparkSession, path: str | Sequence[str], pattern: str = "*
     return listing.coalesce(spark.sparkContext.defaultParallelism)
 
 
+def decoded(name: Column | str) -> Column:
+    """A ``_metadata`` name or path as it stands on disk; Spark gives it percent-encoded."""
+    return F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+
+
 def read_any(spark: SparkSession, path: str, fmt: str, header: bool = False) -> DataFrame:
     """Scan by format name."""
     return spark.read.format(fmt).option("header", header).load(path)

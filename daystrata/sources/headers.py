@@ -37,11 +37,8 @@ def positions(fields: Column, columns: Sequence[str]) -> Column:
 
 
 def pick(values: Column, places: Column, columns: Sequence[str]) -> list[Column]:
-    """The wanted columns out of an array of a row's values."""
-    return [
-        F.when(places[i] >= 0, F.get(values, places[i])).alias(name)
-        for i, name in enumerate(columns)
-    ]
+    """The wanted columns out of an array of a row's values; place -1 gives null."""
+    return [F.get(values, F.get(places, i)).alias(name) for i, name in enumerate(columns)]
 
 
 def union_of_names(headers: DataFrame) -> list[str]:
