@@ -25,16 +25,23 @@ def normalise_hour(col: Column | str) -> Column:
     Only the third and fourth of four zero-padded digits are kept, so ``900`` gives ``00:00:00``;
     run ``hour_out_of_range`` on the raw value first when the input may hold anything else.
     """
-    two_digits = F.lpad(as_column(col), 4, "0").substr(3, 4)
-    six_digits = F.rpad(two_digits, 6, "0")
-    return F.regexp_replace(six_digits, r"(\d\d)", "$1:").substr(1, 8)
+    two = F.lpad(as_column(col), 4, "0").substr(3, 4)
+    other = F.regexp_replace(F.rpad(two, 6, "0"), r"(\d\d)", "$1:").substr(1, 8)
+    # The usual case needs no replacing.
+    return F.when(two.rlike("^[0-9]{2}$"), F.concat(two, F.lit(":00:00"))).otherwise(other)
 
 
 def name_date(
     name: Column, pattern: str = FILE_DATE_PATTERN, fmt: str = FILE_DATE_FORMAT
 ) -> Column:
     """The date inside a file name or path, null where there is none."""
-    return F.try_to_date(F.regexp_extract(name, pattern, 1), fmt)
+    text = F.regexp_extract(name, pattern, 1)
+    if fmt != FILE_DATE_FORMAT or r"(\d{8})" not in pattern:
+        return F.try_to_date(text, fmt)
+    # Eight digits by pattern: cutting them up is far cheaper than a format parser, and every row
+    # of a file asks again.
+    parts = [F.substring(text, start, length) for start, length in ((1, 4), (5, 2), (7, 2))]
+    return F.concat_ws("-", *parts).try_cast("date")
 
 
 def derive_date(col: Column | str) -> Column:

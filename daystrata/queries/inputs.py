@@ -147,9 +147,10 @@ def zipped(rows: DataFrame, stamp: str) -> DataFrame:
     """Archives ``(path, content)`` of the rows: one per Arrow batch, a CSV member per stamp, and
     a member that is no observation file."""
     columns = [c for c in rows.columns if c != stamp]
+    lines = rows.select(F.col(stamp).alias("stamp"), F.to_csv(F.struct(*columns)).alias("line"))
+    header = ",".join(columns)
 
     def zip_batches(batches):
-        import csv
         import io
         import zipfile
 
@@ -159,19 +160,15 @@ def zipped(rows: DataFrame, stamp: str) -> DataFrame:
         # A task that runs again must give its archives the same names.
         task = TaskContext.get().partitionId()
         for number, batch in enumerate(batches):
-            texts: dict[str, io.StringIO] = {}
-            for row in batch.to_pylist():
-                if row[stamp] not in texts:
-                    texts[row[stamp]] = io.StringIO()
-                    csv.writer(texts[row[stamp]], lineterminator="\n").writerow(columns)
-                out = csv.writer(texts[row[stamp]], lineterminator="\n")
-                out.writerow([row[c] for c in columns])
+            members: dict[str, list[str]] = {}
+            for name, line in zip(batch["stamp"].to_pylist(), batch["line"].to_pylist()):
+                members.setdefault(name, [header]).append(line)
             packed = io.BytesIO()
             with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
                 archive.writestr("readme.csv", "not,an,observation\n1,2,3\n")
-                for name, text in texts.items():
-                    archive.writestr(f"weather.{name}.csv", text.getvalue())
+                for name, text in members.items():
+                    archive.writestr(f"weather.{name}.csv", "\n".join(text))
             path = f"task{task}-{number}.zip"
             yield pa.RecordBatch.from_pydict({"path": [path], "content": [packed.getvalue()]})
 
-    return rows.mapInArrow(zip_batches, "path string, content binary")
+    return lines.mapInArrow(zip_batches, "path string, content binary")

@@ -19,10 +19,10 @@ _QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}
 
 
-def query(sql: str) -> Callable[[Query], Query]:
+def query(sql: str, name: str | None = None) -> Callable[[Query], Query]:
     def register(fn: Query) -> Query:
-        _QUERIES[fn.__name__] = fn
-        _SQL[fn.__name__] = sql
+        _QUERIES[name or fn.__name__] = fn
+        _SQL[name or fn.__name__] = sql
         return fn
 
     return register
@@ -119,7 +119,9 @@ def clean_observations(spark, sf_dir):
     return obs_clean(spark, sf_dir)
 
 
-@query("select o_orderkey, cast(o_orderdate as date) as observed_date from orders")
+@query(
+    "select o_orderkey, cast(o_orderdate as date) as observed_date from orders", "derive_date"
+)
 def derive_observed_date(spark, sf_dir):
     orders = I.table(spark, sf_dir, "orders")
     return orders.select("o_orderkey", derive_date("o_orderdate").alias("observed_date"))
@@ -161,15 +163,20 @@ def drop_and_rename(spark, sf_dir):
 
 
 @query(f"{I.CLEAN_CTE} select ObservationDate, Region, ScreenTemperature from obs_clean")
-def project_columns(spark, sf_dir):
+def project(spark, sf_dir):
     return ops.project(
         obs_clean(spark, sf_dir), "ObservationDate", "Region", "ScreenTemperature"
     )
 
 
-@query("select 'Order' as Type, * from orders")
-def label_first(spark, sf_dir):
-    return ops.reorder_last_first(ops.label(I.table(spark, sf_dir, "orders"), "Order"))
+@query("select *, 'Order' as Type from orders")
+def label(spark, sf_dir):
+    return ops.label(I.table(spark, sf_dir, "orders"), "Order")
+
+
+@query("select o_orderpriority, * exclude (o_orderpriority) from orders")
+def reorder_last_first(spark, sf_dir):
+    return ops.reorder_last_first(I.table(spark, sf_dir, "orders"))
 
 
 @query(
@@ -474,19 +481,20 @@ def row_count_report(spark, sf_dir):
     """with s as (select cast(date_trunc('month', o_orderdate) as date) as file_date,
         count(*) as n from orders group by 1),
       t as (select * from s where file_date <> date '1998-03-01'
-        union all select date '1990-01-01', 5)
+        union all select date '1990-01-01', count(*) from region)
     select coalesce(s.file_date, t.file_date) as file_date, coalesce(s.n, 0) as source_rows,
       coalesce(t.n, 0) as target_rows, coalesce(t.n, 0) - coalesce(s.n, 0) as delta
     from s full outer join t on s.file_date = t.file_date"""
 )
 def reconcile_counts(spark, sf_dir):
-    """One month is lost on the way to raw, and a month turns up that never landed."""
+    """One month is lost on the way to raw, and rows turn up for one that never landed."""
     landing = I.land_orders(spark, sf_dir)
     rows = sources.read_landing_csv(spark, landing, I.ORDER_COLUMNS)
     dated = sources.with_file_date(rows, **I.LANDED)
     raw = scratch_dir(spark, "raw")
     sinks.write_raw(dated.where("file_date <> date '1998-03-01'"), raw)
-    strays = I.table(spark, sf_dir, "region").select(F.lit("1990-01-01").cast("date").alias("file_date"))
+    stray = F.lit("1990-01-01").cast("date").alias("file_date")
+    strays = I.table(spark, sf_dir, "region").select(stray)
     return ops.reconcile_counts(
         dated, sources.read_raw(spark, raw).select("file_date").unionAll(strays)
     )

@@ -15,6 +15,8 @@ from daystrata.functions.text import quoted
 from daystrata.sources import headers as H
 
 BLOCK_CHARS = 1 << 20
+# Smaller archives are not worth a shuffle whatever their share.
+HOT_ARCHIVE_BYTES = 128 << 20
 _HEADER_SCHEMA = "archive string, member string, header string"
 _BLOCK_SCHEMA = _HEADER_SCHEMA + ", block bigint, lines string"
 
@@ -36,8 +38,8 @@ def read_archives(
     archives = spark.read.format("binaryFile").load(glob)
     sizes = archives.select("length").agg(F.max("length"), F.sum("length")).first()
     largest, total = sizes[0] or 0, sizes[1] or 0
-    split = 128 << 20
-    lopsided = largest > max(split, 2 * total // spark.sparkContext.defaultParallelism)
+    fair = total / spark.sparkContext.defaultParallelism
+    lopsided = largest > max(HOT_ARCHIVE_BYTES, 2 * fair)
     return unpack_archives(archives, columns, member_prefix, on_header_mismatch, spread=lopsided)
 
 

@@ -104,6 +104,20 @@ def test_spreading_changes_no_row(spark, tmp_path, monkeypatch, mode):
     assert df.where("b = concat('b', a)").select("a").distinct().count() == 20000
 
 
+def test_only_a_hot_archive_is_spread(spark, tmp_path, monkeypatch):
+    def shuffles(glob):
+        df = read_archives(spark, str(tmp_path / glob), ["a"])
+        return "Exchange" in df._jdf.queryExecution().executedPlan().toString()
+
+    for number in range(20):
+        text = "a\n" + "".join(f"{i * i}\n" for i in range(3 if number else 50_000))
+        pack(tmp_path / f"{number:02}.zip", {"weather.20160201.csv": text})
+    assert not shuffles("*.zip")
+    monkeypatch.setattr(archives_module, "HOT_ARCHIVE_BYTES", 100)
+    assert shuffles("00.zip") and shuffles("0*.zip")
+    assert not shuffles("1*.zip")
+
+
 def test_broken_archive_fails(spark, tmp_path):
     (tmp_path / "bad.zip").write_bytes(b"not a zip")
     with pytest.raises(Exception, match="not a zip file"):

@@ -129,6 +129,8 @@ def test_lenient_cast_takes_typed_columns_and_refuses_other_types(spark):
 def test_name_date(spark):
     names = ["weather.20160201.csv", "weather.csv", "weather.20161301.csv", "x.20160201.csv.gz"]
     assert applied(spark, names, name_date) == [DAY, None, None, None]
+    other = applied(spark, ["w_01-02-2016.csv", "w_1.csv"], lambda c: name_date(c, r"_([-\d]+)\.", "dd-MM-yyyy"))
+    assert other == [DAY, None]
 
 
 def test_derive_date(spark):
