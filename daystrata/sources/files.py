@@ -9,8 +9,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
-# A table with one short row per file or date may be broadcast up to this many rows (some 10 MB).
+# A table with one path per row may be broadcast up to both of these.
 BROADCAST_ROWS = 50_000
+BROADCAST_BYTES = 16 << 20
 
 
 def reader(spark: SparkSession, pattern: str = "*") -> DataFrameReader:
@@ -41,9 +42,11 @@ def read_any(spark: SparkSession, path: str, fmt: str, header: bool = False) ->
     return spark.read.format(fmt).option("header", header).load(path)
 
 
-def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Counts up to the limit, so a large table is never counted in full."""
-    return df.limit(rows + 1).count() <= rows
+def fits_broadcast(df: DataFrame, path: str) -> bool:
+    """Measures up to the row bound only, so a large table is never counted in full."""
+    start = df.select(F.octet_length(path).alias("bytes")).limit(BROADCAST_ROWS + 1)
+    rows, size = start.agg(F.count("bytes"), F.sum("bytes")).first()
+    return rows <= BROADCAST_ROWS and (size or 0) <= BROADCAST_BYTES
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:

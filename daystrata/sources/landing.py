@@ -61,12 +61,14 @@ def with_file_date(
         return dated
     if on_duplicate_date != "latest" or listing is None:
         raise ValueError("on_duplicate_date is 'keep', or 'latest' with a listing")
+    if not name.startswith("_metadata."):
+        raise ValueError("'latest' tells files apart, so name must be a _metadata field")
     old = _superseded(listing, pattern, fmt, name.removeprefix("_metadata."), unit)
-    # At most BROADCAST_ROWS rows are broadcast; a longer list goes through an ordinary join.
+    # Broadcast only when measured small; a longer list goes through an ordinary join.
     old = checkpointed(old)
     if old.isEmpty():
         return dated
-    if fits_broadcast(old):
+    if fits_broadcast(old, "superseded_unit"):
         old = F.broadcast(old)
     here = _unit(F.col("_metadata.file_path"), unit)
     return dated.join(old, here == F.col("superseded_unit"), "left_anti")
@@ -133,8 +135,8 @@ def _read_by_name(
     generic = H.positional(shape["width"])
     rows = _with_header(spark, pattern).schema(H.all_string(generic)).csv(root)
     places = fields.select("header_path", H.positions(F.col("fields"), names).alias("places"))
-    # One short row per file: broadcast when counted small, else an ordinary (skew-split) join.
-    if fits_broadcast(places):
+    # One row per file: broadcast when measured small, else an ordinary (skew-split) join.
+    if fits_broadcast(places, "header_path"):
         places = F.broadcast(places)
     joined = rows.join(places, F.col("_metadata.file_path") == F.col("header_path"), "left")
     return joined.select(H.pick(F.array(*generic), F.col("places"), names))

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from daystrata.sources import list_files, read_any, read_landing_csv, with_file_date
+from daystrata.sources import files as files_module
 from daystrata.sources import landing as landing_module
 
 FEB, MAR = datetime.date(2016, 2, 1), datetime.date(2016, 3, 1)
@@ -88,7 +89,7 @@ def test_by_name_with_wanted_columns(spark, mixed):
 
 def test_by_name_beyond_the_broadcast_bound(spark, mixed, monkeypatch):
     """With more files than may be broadcast the headers are joined by shuffle."""
-    monkeypatch.setattr(landing_module, "fits_broadcast", lambda df: False)
+    monkeypatch.setattr(landing_module, "fits_broadcast", lambda *_: False)
     df = read_landing_csv(spark, str(mixed), on_header_mismatch="by_name")
     ordered = with_file_date(df).select("a", "b", "c", "`b,d`", "file_date")
     assert rows(ordered) == MIXED
@@ -154,10 +155,21 @@ def test_same_date_latest_file(spark, twice):
 
 def test_same_date_latest_file_beyond_the_broadcast_bound(spark, twice, monkeypatch):
     expected = rows(latest(spark, twice))
-    monkeypatch.setattr(landing_module, "fits_broadcast", lambda df: False)
+    monkeypatch.setattr(landing_module, "fits_broadcast", lambda *_: False)
     assert rows(latest(spark, twice)) == expected
 
 
+def test_broadcast_bounds(spark, monkeypatch):
+    paths = spark.range(20).select(F.repeat(F.lit("p"), 10).alias("path"))
+    assert files_module.fits_broadcast(paths, "path")
+    assert files_module.fits_broadcast(paths.limit(0), "path")
+    monkeypatch.setattr(files_module, "BROADCAST_ROWS", 19)
+    assert not files_module.fits_broadcast(paths, "path")
+    monkeypatch.setattr(files_module, "BROADCAST_ROWS", 20)
+    monkeypatch.setattr(files_module, "BROADCAST_BYTES", 199)
+    assert not files_module.fits_broadcast(paths, "path")
+
+
 def test_latest_without_duplicates_adds_no_join(spark, tree):
     df = latest(spark, tree)
     assert "Join" not in df._jdf.queryExecution().executedPlan().toString()
@@ -167,6 +179,13 @@ def test_latest_without_duplicates_adds_no_join(spark, tree):
 def test_latest_needs_a_listing(spark, tree):
     with pytest.raises(ValueError):
         with_file_date(read_landing_csv(spark, str(tree)), on_duplicate_date="latest")
+    with pytest.raises(ValueError):
+        with_file_date(
+            read_landing_csv(spark, str(tree)),
+            on_duplicate_date="latest",
+            listing=list_files(spark, str(tree)),
+            name="a",
+        )
 
 
 def test_listing_reads_no_content(spark, tree):

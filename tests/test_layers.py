@@ -155,6 +155,16 @@ def test_rows_without_a_day(spark, tmp_path):
     assert read_raw(spark, str(tmp_path / "raw")).where("d is null").count() == 1
 
 
+@pytest.mark.parametrize("gather", [True, False])
+def test_nothing_to_write(spark, tmp_path, gather):
+    root = str(tmp_path / "t")
+    write_raw(days(spark, 2, 2), root, "d")
+    none = days(spark, 2, 2).where("id < 0")
+    counts = write_by_day(none, root, "d", drop_null_day=True, gather_days=gather)
+    assert counts.get == {"seen_rows": 0, "null_days": 0, "written_rows": 0}
+    assert read_raw(spark, root).count() == 4
+
+
 def test_a_hot_day_is_split_and_small_days_are_not(spark, tmp_path):
     root = str(tmp_path / "t")
     hot = spark.range(400_000, numPartitions=8).select(
