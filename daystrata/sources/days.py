@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from datetime import date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The partition columns of every layer.
 DAY_PARTS = ("year", "month", "day")
 
+# Longer ranges are cheaper to list as a whole.
+_LISTED_MONTHS = 120
+
 
 def read_days(
     spark: SparkSession,
@@ -20,17 +24,40 @@ def read_days(
 ) -> DataFrame:
     """Rows of the days from ``start`` to ``end``, both included; other directories are not read.
 
-    Without bounds all rows come back, those without a day too.
+    With both bounds only the months between them are listed, so the cost of planning does not grow
+    with the layer. Without bounds all rows come back, those without a day too.
     """
-    df = spark.read.option("mergeSchema", merge_schema).parquet(root)
+    first = date.fromisoformat(str(start)) if start is not None else None
+    last = date.fromisoformat(str(end)) if end is not None else None
+    df = _scan(spark, root, first, last, merge_schema)
     directory_day = F.make_date(*DAY_PARTS)
-    if start is not None:
-        df = df.where(directory_day >= F.lit(str(start)).cast("date"))
-    if end is not None:
-        df = df.where(directory_day <= F.lit(str(end)).cast("date"))
+    if first is not None:
+        df = df.where(directory_day >= F.lit(first))
+    if last is not None:
+        df = df.where(directory_day <= F.lit(last))
     return df.drop(*DAY_PARTS)
 
 
+def _scan(
+    spark: SparkSession, root: str, first: date | None, last: date | None, merge_schema: bool
+) -> DataFrame:
+    reader = spark.read.option("mergeSchema", merge_schema)
+    months = _months(first, last) if first and last and not set(root) & set("{}[]*?\\") else []
+    if 0 < len(months) <= _LISTED_MONTHS:
+        try:
+            return reader.option("basePath", root).parquet(f"{root}/{{{','.join(months)}}}")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+    # No such month: the whole layer has the columns, and the bounds leave no row.
+    return spark.read.option("mergeSchema", merge_schema).parquet(root)
+
+
+def _months(first: date, last: date) -> list[str]:
+    numbers = range(first.year * 12 + first.month - 1, last.year * 12 + last.month)
+    return [f"year={n // 12}/month={n % 12 + 1}" for n in numbers]
+
+
 def read_raw(spark: SparkSession, root: str, start=None, end=None, **options) -> DataFrame:
     """The raw layer, all text, between two file dates."""
     return read_days(spark, root, start, end, **options)

@@ -155,6 +155,28 @@ def test_rows_without_a_day(spark, tmp_path):
     assert read_raw(spark, str(tmp_path / "raw")).where("d is null").count() == 1
 
 
+def test_only_the_months_asked_for_are_listed(spark, tmp_path):
+    root = str(tmp_path / "t")
+    write_raw(days(spark, 400, 1), root, "d")
+    assert len(read_raw(spark, root).inputFiles()) == 400
+    across = read_raw(spark, root, "2016-12-30", "2017-01-02")
+    listed = spark.read.option("basePath", root).parquet(
+        f"{root}/year=2016/month=12", f"{root}/year=2017/month=1"
+    )
+    assert sorted(across.inputFiles()) == sorted(listed.inputFiles())
+    assert sorted(str(r["d"]) for r in across.collect()) == [
+        "2016-12-30", "2016-12-31", "2017-01-01", "2017-01-02",
+    ]
+    assert across.columns == read_raw(spark, root).columns
+    # Bounds outside the layer, half inside, reversed, and too long to list by month.
+    assert read_raw(spark, root, "1999-01-01", "1999-02-01").collect() == []
+    assert read_raw(spark, root, "2015-01-01", "2016-02-03").count() == 3
+    assert read_raw(spark, root, "2016-05-01", "2016-03-01").count() == 0
+    assert read_raw(spark, root, "1990-01-01", "2030-01-01").count() == 400
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        read_raw(spark, root + "x", "2016-05-01", "2016-06-01")
+
+
 @pytest.mark.parametrize("gather", [True, False])
 def test_nothing_to_write(spark, tmp_path, gather):
     root = str(tmp_path / "t")
