@@ -37,16 +37,20 @@ def land_to_raw(
     archives: str | None = None,
     columns: Sequence[str] | None = None,
     on_header_mismatch: str = "fail",
+    gather_days: bool = False,
     **file_date,
 ) -> Observation:
-    """Loose CSV files below ``landing``, or members of ``archives``, into the raw layer."""
+    """Loose CSV files below ``landing``, or members of ``archives``, into the raw layer.
+
+    Loose files are not shuffled; ``gather_days`` does so where a date comes in very many small
+    files, to write fewer.
+    """
     if (landing is None) == (archives is None):
         raise ValueError("give either landing or archives")
     if landing is not None:
-        rows = read_landing_csv(
-            spark, landing, columns, on_header_mismatch=on_header_mismatch
-        )
-        return write_raw(with_file_date(rows, **file_date), raw_root)
+        rows = read_landing_csv(spark, landing, columns, on_header_mismatch=on_header_mismatch)
+        dated = with_file_date(rows, **file_date)
+        return write_raw(dated, raw_root, gather_days=gather_days)
     if columns is None:
         raise ValueError("archives need columns")
     rows = read_archives(spark, archives, columns, on_header_mismatch=on_header_mismatch)
@@ -81,12 +85,13 @@ def run(
     archives: str | None = None,
     columns: Sequence[str] | None = None,
     on_header_mismatch: str = "fail",
+    gather_days: bool = False,
     config: ObservationConfig = WEATHER,
     **file_date,
 ) -> LayerRun:
     """All layers, then the hottest record over the whole clean layer."""
     raw = land_to_raw(
-        spark, raw_root, landing, archives, columns, on_header_mismatch, **file_date
+        spark, raw_root, landing, archives, columns, on_header_mismatch, gather_days, **file_date
     )
     cleaned = raw_to_clean(spark, raw_root, clean_root, config=config)
     return LayerRun(raw, cleaned, hottest_record(read_clean(spark, clean_root), config))

@@ -109,6 +109,17 @@ def test_counts_between_layers(spark, store):
     assert {r["delta"] for r in reconcile_counts(dated, read_raw(spark, raw)).collect()} == {0}
 
 
+def test_many_small_files_of_a_date_can_be_gathered(spark, tmp_path):
+    for number in range(40):
+        (tmp_path / f"part{number}").mkdir()
+        (tmp_path / f"part{number}" / "weather.20160201.csv").write_text(f"a\n{number}\n")
+    raw = str(tmp_path / "raw")
+    counts = plans.land_to_raw(spark, raw, str(tmp_path / "part*"), gather_days=True)
+    assert counts.get["written_rows"] == 40
+    assert len(glob.glob(f"{raw}/*/*/*/*.parquet")) == 1
+    assert {r["a"] for r in read_raw(spark, raw).collect()} == {str(n) for n in range(40)}
+
+
 def test_one_source_is_needed(spark, store):
     for source in ({}, {"landing": "a", "archives": "b"}, {"archives": "b"}):
         with pytest.raises(ValueError):
