@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from daystrata.llm import convnet, packing, toxicity
+from daystrata.llm import convnet, packing, paths, repeats, toxicity
 from daystrata.sources.files import scratch_dir
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -28,6 +28,16 @@ def harmless(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.kept(docs, model).select(COLUMNS)
 
 
+def different(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return paths.one_of_each(docs).select(COLUMNS)
+
+
+def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages that occur elsewhere; other texts stay as they are."""
+    return repeats.cut(docs).withColumn("n_chars", F.length("text").cast("bigint")).select(COLUMNS)
+
+
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences."""
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
@@ -36,6 +46,8 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("quality classifier", good),
     ("toxicity", harmless),
+    ("n-gram Jaccard join", different),
+    ("substring dedup", unrepeated),
     ("packing", packed),
 ]
 

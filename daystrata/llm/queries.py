@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daystrata.llm import convnet, packing, rules, toxicity
+from daystrata.llm import bpe, convnet, packing, paths, repeats, rules, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +17,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return bpe.encode(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
 def packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
@@ -31,16 +36,29 @@ def rule_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(table(spark, sf_dir, "documents"))
 
 
+def similar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document with its group and the number of its links."""
+    return paths.groups(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
+
+
 def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return convnet.score(docs, convnet.train(docs, table(spark, sf_dir, "labels")))
 
 
+def unrepeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.remove(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 QUERIES: dict[str, Query] = {
+    "op1_bpe": encoded,
     "op2_packing": packed,
     "op3_toxicity": toxic,
     "op4_quality_rules": rule_verdicts,
+    "op6_jaccard_join": similar,
     "op9_quality_classifier": quality,
+    "op10_substring_dedup": unrepeated,
 }
 
 SQL: dict[str, str] = {"op4_quality_rules": rules.judge_sql()}
