@@ -301,4 +301,4 @@ def _judged(docs: DataFrame, network: Network) -> DataFrame:
             scores = network.probabilities(raw_texts(batch), tables)
             yield batch.append_column("_score", pa.array(scores, pa.float64()))
 
-    return shipped(docs).mapInArrow(run, T.StructType(docs.schema.fields).add("_score", "double"))
+    return shipped(docs).mapInArrow(run, T.StructType(list(docs.schema.fields)).add("_score", "double"))

@@ -304,6 +304,6 @@ def kept(docs: DataFrame, model: Model) -> DataFrame:
             scores = [model.judge(text)[0] for text in string_texts(batch)]
             yield batch.append_column("_score", pa.array(scores, pa.float64()))
 
-    schema = T.StructType(docs.schema.fields).add("_score", "double")
+    schema = T.StructType(list(docs.schema.fields)).add("_score", "double")
     judged = shipped(docs).mapInArrow(run, schema)
     return judged.where(F.col("_score") < THRESHOLD).drop("_score")
