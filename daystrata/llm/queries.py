@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daystrata.llm import bpe, convnet, packing, paths, repeats, rules, toxicity
+from daystrata.llm import bpe, convnet, fingerprints, packing, paths, repeats, rules, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,6 +36,10 @@ def rule_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(table(spark, sf_dir, "documents"))
 
 
+def fingerprinted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_pairs(table(spark, sf_dir, "documents"))
+
+
 def similar(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each document with its group and the number of its links."""
     return paths.groups(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
@@ -56,6 +60,7 @@ QUERIES: dict[str, Query] = {
     "op2_packing": packed,
     "op3_toxicity": toxic,
     "op4_quality_rules": rule_verdicts,
+    "op5_fingerprints": fingerprinted,
     "op6_jaccard_join": similar,
     "op9_quality_classifier": quality,
     "op10_substring_dedup": unrepeated,
