@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daystrata.llm import bpe, convnet, fingerprints, packing, paths, repeats, rules, toxicity
+from daystrata.llm import bpe, convnet, fingerprints, licences, packing, paths, quotes, repeats, rules, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,6 +45,19 @@ def similar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paths.groups(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
 
 
+_PATH = "concat('/', coalesce(source, ''), '/', coalesce(lang, ''), '/', doc_id, '.txt')"
+
+
+def licensed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files in a directory per source and language."""
+    files = table(spark, sf_dir, "documents").select("doc_id", F.expr(_PATH).alias("path"), "text")
+    return licences.scan(files)
+
+
+def answered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.linked(table(spark, sf_dir, "conversations"))
+
+
 def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return convnet.score(docs, convnet.train(docs, table(spark, sf_dir, "labels")))
@@ -62,8 +75,14 @@ QUERIES: dict[str, Query] = {
     "op4_quality_rules": rule_verdicts,
     "op5_fingerprints": fingerprinted,
     "op6_jaccard_join": similar,
+    "op7_licence_scan": licensed,
+    "op8_quote_linking": answered,
     "op9_quality_classifier": quality,
     "op10_substring_dedup": unrepeated,
 }
 
-SQL: dict[str, str] = {"op4_quality_rules": rules.judge_sql()}
+SQL: dict[str, str] = {
+    "op4_quality_rules": rules.judge_sql(),
+    "op7_licence_scan": licences.scan_sql(f"select doc_id, {_PATH} as path, text from documents"),
+    "op8_quote_linking": quotes.linked_sql(),
+}
