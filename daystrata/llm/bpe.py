@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daystrata.llm.words import coder, raw_texts, shipped
+from daystrata.llm.words import coder, doc_id_of, keyed_texts, raw_texts, shipped
 from daystrata.sources.files import checkpointed
 
 #: Bytes of a chunk: least, most, and one cut in about so many bytes between.
@@ -137,17 +137,6 @@ class Joiner:
         raise ValueError("a chunk join did not come to agree; this tokenizer looks across words")
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    doc_id = F.col("doc_id").cast("bigint")
-    return docs.select(
-        doc_id.alias("doc_id"),
-        F.coalesce(doc_id, F.lit(-(1 << 63))).alias("doc_key"),
-        F.xxhash64(text).alias("text_key"),
-        text.alias("text"),
-    )
-
-
 def _shared(keyed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Places ``(doc_key, text_key, name)`` of chunks found in two documents or twice in one, and of
     each the one place that encodes it."""
@@ -160,7 +149,7 @@ def _shared(keyed: DataFrame) -> tuple[DataFrame, DataFrame]:
                 names=[*_KEYS, "names"],
             )
 
-    named = keyed.select(*_KEYS, "text").mapInArrow(
+    named = keyed.mapInArrow(
         name_all, "doc_key bigint, text_key bigint, names array<binary>"
     )
     places = named.select(*_KEYS, F.explode("names").alias("name"))
@@ -180,7 +169,7 @@ def encode(docs: DataFrame, tokenizer: str, with_ids: bool = False) -> DataFrame
     empty and gives no ids; a text of any length is one row of work; repeated rows stay; an empty
     table gives no rows; other columns are ignored.
     """
-    keyed = _keyed(shipped(docs))
+    keyed = keyed_texts(shipped(docs))
     every, owners = _shared(keyed)
     wanted = owners.groupBy(*_KEYS).agg(F.collect_list("name").alias("names"))
 
@@ -202,8 +191,7 @@ def encode(docs: DataFrame, tokenizer: str, with_ids: bool = False) -> DataFrame
                     names=["name", "ids", "ends"],
                 )
 
-    texts = keyed.select("doc_id", *_KEYS, "text")
-    once = texts.join(wanted, _KEYS).select("text", "names")
+    once = keyed.join(wanted, _KEYS).select("text", "names")
     shared = once.mapInArrow(encode_shared, f"name binary, {_ENCODED}")
     # A repeated document encodes its chunks twice; one answer is enough.
     shared = checkpointed(shared.dropDuplicates(["name"]))
@@ -241,7 +229,7 @@ def encode(docs: DataFrame, tokenizer: str, with_ids: bool = False) -> DataFrame
     names = ["n_tokens", "ids_sha256", "decoded_sha256", *(["ids", "decoded"] if with_ids else [])]
     ddl = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
     ddl += ", ids array<int>, decoded string" if with_ids else ""
-    whole = texts.join(brought, _KEYS, "left").select("doc_id", "text", "known")
+    whole = keyed.join(brought, _KEYS, "left").select(doc_id_of("doc_key"), "text", "known")
     return whole.mapInArrow(assemble, ddl)
 
 

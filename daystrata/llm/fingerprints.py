@@ -30,10 +30,14 @@ def let(name: str, value: str, body: str) -> str:
     return f"element_at(transform(array({value}), {name} -> {body}), 1)"
 
 
-def items(text: str) -> str:
-    """SQL: a text's distinct paragraph digests ``k`` with their check bits ``c`` and place bits ``h``."""
+def digests(text: str) -> str:
+    """SQL: a text's distinct paragraph digests."""
     pieces = f"regexp_extract_all({text}, r'{_PIECES}', 0)"
-    keys = f"array_distinct(transform({pieces}, p -> xxhash64(p)))"
+    return f"array_distinct(transform({pieces}, p -> xxhash64(p)))"
+
+
+def items(keys: str) -> str:
+    """SQL: digests ``k`` with their check bits ``c`` and place bits ``h``."""
     return f"transform({keys}, k -> struct(k, xxhash64(k, 13) as c, xxhash64(k, 7) as h))"
 
 
@@ -171,25 +175,27 @@ def edited_pairs(docs: DataFrame) -> DataFrame:
         F.col("next_id_key").alias("id_key"),
         F.col("next_key").alias("key"),
     )
-    texts = filled.select("id_key", "key", "id", "text")
-    brought = texts.dropDuplicates(["id_key", "key"]).join(wanted, ["id_key", "key"]).select(
+    texts = filled.select("id_key", "key", "text")
+    brought = texts.join(wanted, ["id_key", "key"]).select(
         F.col("to_id").alias("id_key"),
         F.col("to_key").alias("key"),
         F.expr("substring(text, 1, cast(take as int))").alias("start"),
-        F.expr(items("text")).alias("c"),
+        F.expr(digests("text")).alias("c"),
     )
+    # A repeated row brings its start twice.
+    brought = brought.dropDuplicates(["id_key", "key"])
     paired = texts.join(brought, ["id_key", "key"]).withColumn("n_chars", F.length("text"))
     paired = paired.withColumn(
         "edited",
         F.expr("concat(substring(text, 1, cast(n_chars - n_chars div 3 as int)), start)"),
     )
     listed = paired.select(
-        F.col("id").alias("doc_id"),
+        F.when(F.col("id_key") != -(1 << 63), F.col("id_key")).alias("doc_id"),
         F.col("n_chars").cast("bigint").alias("n_chars"),
         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-        F.expr(items("text")).alias("a"),
-        F.expr(items("edited")).alias("b"),
-        "c",
+        F.expr(items(digests("text"))).alias("a"),
+        F.expr(items(digests("edited"))).alias("b"),
+        F.expr(items("c")).alias("c"),
     )
     found = listed.select(
         "doc_id", "n_chars", "edited_sha256",

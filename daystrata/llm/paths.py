@@ -19,7 +19,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daystrata.llm.words import mixed, raw_texts, rolling, shipped, word_hashes
+from daystrata.llm.words import (
+    doc_id_of,
+    keyed_texts,
+    mixed,
+    raw_texts,
+    rolling,
+    shipped,
+    word_hashes,
+)
 from daystrata.sources.files import checkpointed
 
 #: Words of a shingle; similarity from which documents link, as a fraction of whole numbers.
@@ -63,17 +71,6 @@ def tokens(shingled: np.ndarray) -> np.ndarray:
     return (best >> np.uint64(32)).astype("<u4")
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    doc_id = F.col("doc_id").cast("bigint")
-    return docs.select(
-        doc_id.alias("doc_id"),
-        F.coalesce(doc_id, F.lit(-(1 << 63))).alias("doc_key"),
-        F.xxhash64(text).alias("text_key"),
-        text.alias("text"),
-    )
-
-
 def _sketched(docs: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
@@ -81,12 +78,12 @@ def _sketched(docs: DataFrame) -> DataFrame:
             keys = [hashlib.md5(s.tobytes()).digest() if len(s) else None for s in sets]
             marks = [tokens(s).tobytes() if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array(keys, pa.binary()), pa.array(marks, pa.binary())],
-                names=["doc_id", *_KEYS, "node", "tokens"],
+                [*batch.columns[:2], pa.array(keys, pa.binary()), pa.array(marks, pa.binary())],
+                names=[*_KEYS, "node", "tokens"],
             )
 
-    ddl = "doc_id bigint, doc_key bigint, text_key bigint, node binary, tokens binary"
-    return _keyed(shipped(docs)).mapInArrow(run, ddl)
+    ddl = "doc_key bigint, text_key bigint, node binary, tokens binary"
+    return keyed_texts(shipped(docs)).mapInArrow(run, ddl)
 
 
 def _followed(classes: DataFrame, runs: int, share: float) -> DataFrame:
@@ -305,7 +302,7 @@ def groups(docs: DataFrame, recall: float = RECALL, block: int = BLOCK) -> DataF
         .groupBy("node")
         .agg(
             F.count("*").alias("n_docs"),
-            F.min(F.struct(*_KEYS, "doc_id")).alias("least"),
+            F.min(F.struct(*_KEYS)).alias("least"),
             F.first("tokens").alias("tokens"),
         )
     )
@@ -326,7 +323,7 @@ def groups(docs: DataFrame, recall: float = RECALL, block: int = BLOCK) -> DataF
             at = batch.schema.get_field_index("text")
             yield batch.set_column(at, "set", pa.array(sets, pa.binary()))
 
-    texts = _keyed(docs).select(*_KEYS, "text").join(placed, _KEYS)
+    texts = keyed_texts(docs).join(placed, _KEYS)
     sets = texts.select("root", "blocks", "own", "node", "n_docs", "text").mapInArrow(
         sets_of, "root binary, blocks int, own int, node binary, n_docs bigint, set binary"
     )
@@ -353,9 +350,12 @@ def groups(docs: DataFrame, recall: float = RECALL, block: int = BLOCK) -> DataF
     )
     alone = F.col("head").isNull()
     own = (F.col("doc_key") == F.col("head.doc_key")) & (F.col("text_key") == F.col("head.text_key"))
-    return rows.join(named, "node", "left").select(
-        "doc_id",
-        F.when(alone, F.col("doc_id")).otherwise(F.col("head.doc_id")).alias("class_id"),
+    rows = rows.join(named, "node", "left").withColumn(
+        "class_key", F.coalesce("head.doc_key", "doc_key")
+    )
+    return rows.select(
+        doc_id_of("doc_key"),
+        doc_id_of("class_key").alias("class_id"),
         F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
         *_KEYS,
         (alone | own).alias("first"),

@@ -22,7 +22,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daystrata.llm.words import mixed, raw_texts, rolling, shipped, word_hashes
+from daystrata.llm.words import (
+    doc_id_of,
+    keyed_texts,
+    mixed,
+    raw_texts,
+    rolling,
+    shipped,
+    word_hashes,
+)
 from daystrata.sources.files import checkpointed
 
 #: Words of a passage that must not repeat, and of the gram that splits suffixes into groups.
@@ -57,15 +65,6 @@ def passages(hashes: np.ndarray, window: int, gram: int):
     return grams[owner[starts]], starts, np.r_[starts[1:], n] - 1
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    doc_id = F.col("doc_id").cast("bigint")
-    return docs.select(
-        doc_id.alias("doc_id"),
-        F.coalesce(doc_id, F.lit(-(1 << 63))).alias("doc_key"),
-        F.xxhash64(text).alias("text_key"),
-        text.alias("text"),
-    )
 
 
 def _signed(values: np.ndarray) -> np.ndarray:
@@ -84,7 +83,7 @@ def repeated(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, group: int
     ``found`` is a list of ``(first, bits)``: bit k says that the window from word ``first + k`` on
     starts elsewhere too.
     """
-    keyed = _keyed(shipped(docs))
+    keyed = keyed_texts(shipped(docs))
 
     def grams_of(batches):
         for batch in batches:
@@ -97,7 +96,7 @@ def repeated(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, group: int
                 names=[*_KEYS, "grams"],
             )
 
-    placed = keyed.select(*_KEYS, "text").mapInArrow(
+    placed = keyed.mapInArrow(
         grams_of, "doc_key bigint, text_key bigint, grams array<bigint>"
     )
     places = placed.select(*_KEYS, F.explode("grams").alias("gram"))
@@ -110,7 +109,7 @@ def repeated(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, group: int
             F.collect_set(F.when(hot, F.col("gram"))).alias("hot"),
         )
     )
-    searched = keyed.select(*_KEYS, "text").join(wanted, _KEYS)
+    searched = keyed.join(wanted, _KEYS)
     cold = _subtrees(searched.select(*_KEYS, "text", "cold"), window, gram)
     long = _long_prefixes(searched.select(*_KEYS, "text", "hot"), window, gram)
     bits = cold.unionAll(long)
@@ -267,7 +266,7 @@ def remove(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, group: int =
     row; an empty table gives no rows; other columns are ignored.
     """
     found = repeated(docs, window, gram, group)
-    keyed = _keyed(shipped(docs))
+    keyed = keyed_texts(shipped(docs))
 
     def cut(batches):
         for batch in batches:
@@ -286,8 +285,8 @@ def remove(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, group: int =
                 names=["doc_id", "n_words", "n_removed", "kept_text", "kept_sha256"],
             )
 
-    marked = keyed.select("doc_id", *_KEYS, "text").join(found, _KEYS, "left")
-    return marked.select("doc_id", "text", "found").mapInArrow(
+    marked = keyed.join(found, _KEYS, "left")
+    return marked.select(doc_id_of("doc_key"), "text", "found").mapInArrow(
         cut,
         "doc_id bigint, n_words bigint, n_removed bigint, kept_text string, kept_sha256 string",
     )

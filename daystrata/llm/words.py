@@ -12,8 +12,11 @@ from pyspark.sql import functions as F
 
 #: Entries that a worker's memo holds before it starts afresh; bounds its memory.
 MEMO_ENTRIES = 400_000
+#: The same for words' token ids, which cost more to find.
+CODED_ENTRIES = 900_000
 
 _HASHES: dict[bytes, int] = {}
+_NO_ID = -(1 << 63)
 
 
 def shipped(df: DataFrame) -> DataFrame:
@@ -37,6 +40,21 @@ def text_of(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit("")).alias("text")
 
 
+def keyed_texts(docs: DataFrame) -> DataFrame:
+    """``(doc_key, text_key, text)``: rows named by id and hash of the text, so that joins back to them
+    hold for null and repeated ids. All readers of one shuffle of texts take just these columns."""
+    return docs.select(
+        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_NO_ID)).alias("doc_key"),
+        F.xxhash64(text_of()).alias("text_key"),
+        text_of(),
+    )
+
+
+def doc_id_of(key: str) -> Column:
+    """The id behind a ``doc_key``; the least bigint stands for null."""
+    return F.when(F.col(key) != _NO_ID, F.col(key)).alias("doc_id")
+
+
 def raw_texts(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
     """A text column as UTF-8 bytes, null taken as empty."""
     column = batch.column(batch.schema.get_field_index(name)).cast(pa.large_binary())
@@ -145,7 +163,7 @@ class WordCoder:
         try:
             return [memo[word] for word in words]
         except KeyError:
-            if len(memo) > MEMO_ENTRIES:
+            if len(memo) > CODED_ENTRIES:
                 memo.clear()
             new = list(set(words).difference(memo))
             if not spaced:
