@@ -21,7 +21,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daystrata.llm.words import coder, doc_id_of, keyed_texts, raw_texts, shipped
+from daystrata.llm.words import (
+    coder,
+    doc_id_of,
+    keyed_texts,
+    packed_texts,
+    raw_texts,
+    shipped,
+    unpacked,
+)
 from daystrata.sources.files import checkpointed
 
 #: Bytes of a chunk: least, most, and one cut in about so many bytes between.
@@ -169,8 +177,8 @@ def encode(docs: DataFrame, tokenizer: str, with_ids: bool = False) -> DataFrame
     empty and gives no ids; a text of any length is one row of work; repeated rows stay; an empty
     table gives no rows; other columns are ignored.
     """
-    keyed = keyed_texts(shipped(docs))
-    every, owners = _shared(keyed)
+    every, owners = _shared(keyed_texts(shipped(docs)))
+    texts = packed_texts(docs)
     wanted = owners.groupBy(*_KEYS).agg(F.collect_list("name").alias("names"))
 
     def encode_shared(batches):
@@ -178,7 +186,7 @@ def encode(docs: DataFrame, tokenizer: str, with_ids: bool = False) -> DataFrame
         for batch in batches:
             rows = []
             names = batch.column(1).to_pylist()
-            for chunks, mine in zip(chunks_of(raw_texts(batch)), names):
+            for chunks, mine in zip(chunks_of(unpacked(batch)), names):
                 left = set(mine)
                 for chunk in chunks:
                     if (name := name_of(chunk)) in left:
@@ -191,10 +199,10 @@ def encode(docs: DataFrame, tokenizer: str, with_ids: bool = False) -> DataFrame
                     names=["name", "ids", "ends"],
                 )
 
-    once = keyed.join(wanted, _KEYS).select("text", "names")
+    once = texts.join(wanted, _KEYS).select("packed", "names")
     shared = once.mapInArrow(encode_shared, f"name binary, {_ENCODED}")
     # A repeated document encodes its chunks twice; one answer is enough.
-    shared = checkpointed(shared.dropDuplicates(["name"]))
+    shared = shared.dropDuplicates(["name"])
     brought = every.join(shared, "name").groupBy(*_KEYS).agg(
         F.collect_list(F.struct("name", "ids", "ends")).alias("known")
     )
@@ -204,7 +212,7 @@ def encode(docs: DataFrame, tokenizer: str, with_ids: bool = False) -> DataFrame
         for batch in batches:
             out = []
             known = batch.column(2)
-            texts_ = raw_texts(batch)
+            texts_ = unpacked(batch)
             for i, chunks in enumerate(chunks_of(texts_)):
                 held = {k["name"]: (k["ids"], k["ends"]) for k in known[i].as_py() or ()}
                 joiner = Joiner(code)
@@ -229,7 +237,7 @@ def encode(docs: DataFrame, tokenizer: str, with_ids: bool = False) -> DataFrame
     names = ["n_tokens", "ids_sha256", "decoded_sha256", *(["ids", "decoded"] if with_ids else [])]
     ddl = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
     ddl += ", ids array<int>, decoded string" if with_ids else ""
-    whole = keyed.join(brought, _KEYS, "left").select(doc_id_of("doc_key"), "text", "known")
+    whole = texts.join(brought, _KEYS, "left").select(doc_id_of("doc_key"), "packed", "known")
     return whole.mapInArrow(assemble, ddl)
 
 

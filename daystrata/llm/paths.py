@@ -37,8 +37,10 @@ SIMILAR = (4, 5)
 RECALL = 0.99999
 #: Minhash values per class, and the share of them by which candidates may fall short.
 TOKENS, SLACK = 64, 0.3
-#: Largest bucket compared pair by pair, levels of splitting, and paths followed on deeper levels.
-BUCKET, LEVELS, FOLLOW = 48, 3, 6.0
+#: Largest bucket compared pair by pair, levels of splitting, and linked tokens followed on deeper levels.
+BUCKET, LEVELS, FOLLOW = 48, 2, 1.0
+#: Share of tokens that agree with a bucket's centre from which a member is split no further.
+RETIRED = 0.85
 #: Classes of one block in the exact check.
 BLOCK = 1024
 
@@ -157,9 +159,38 @@ def _forest(nodes: list[bytes], linked: np.ndarray) -> list[tuple[bytes, bytes]]
     return [(nodes[i], nodes[order[label[i]]]) for i in range(len(nodes)) if label[i] != rank[i]]
 
 
+def _centred(large: DataFrame, classes: DataFrame) -> DataFrame:
+    """``(path, node, centre, alike)``: each member of a large bucket against one member picked by hash,
+    and the share of their tokens that agree."""
+    marked = large.join(classes, "node").select("path", "node", "tokens")
+    pick = F.min_by(F.struct("node", "tokens"), F.xxhash64("path", "node"))
+    centres = marked.groupBy("path").agg(pick.alias("c"))
+    centres = centres.select("path", F.col("c.node").alias("centre"), F.col("c.tokens").alias("marks"))
+
+    def run(batches):
+        for batch in batches:
+            sides = [
+                np.frombuffer(b"".join(batch.column(k).to_pylist()), "<u4").reshape(-1, TOKENS)
+                for k in (2, 4)
+            ]
+            alike = (sides[0] == sides[1]).mean(1)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), batch.column(3), pa.array(alike, pa.float64())],
+                names=["path", "node", "centre", "alike"],
+            )
+
+    return marked.join(centres, "path").mapInArrow(
+        run, "path bigint, node binary, centre binary, alike double"
+    )
+
+
 def candidates(classes: DataFrame, recall: float = RECALL) -> DataFrame:
     """``(a, b)`` whose connected parts hold, but for a chance of ``1 - recall`` each, every pair of
-    classes that links. ``classes``: ``(node, tokens)``."""
+    classes that links. ``classes``: ``(node, tokens)``.
+
+    In a large bucket all members alike to one of them are joined to it. Those nearly equal to it then
+    leave the bucket, as whatever links with them is alike to it too; the others are split further.
+    """
     similar = SIMILAR[0] / SIMILAR[1]
     # On average one shared token of a linked pair is followed in a run.
     runs = math.ceil(-math.log(1 - recall))
@@ -168,7 +199,7 @@ def candidates(classes: DataFrame, recall: float = RECALL) -> DataFrame:
     for level in range(LEVELS):
         rows = checkpointed(rows)
         sizes = rows.groupBy("path").agg(F.count("*").alias("n")).where("n > 1")
-        shared = rows.join(sizes, "path")
+        shared = checkpointed(rows.join(sizes, "path"))
         small = shared.where(F.col("n") <= BUCKET).join(classes, "node")
         buckets = small.groupBy("path").agg(F.collect_list(F.struct("node", "tokens")).alias("m"))
         found = _compared(buckets.select("m"))
@@ -179,7 +210,11 @@ def candidates(classes: DataFrame, recall: float = RECALL) -> DataFrame:
             centre = large.groupBy("path").agg(F.min("node").alias("b"))
             joined = large.join(centre, "path").where("node <> b")
             return edges.unionAll(joined.select(F.col("node").alias("a"), "b")).distinct()
-        rows = _followed(large.join(classes, "node"), 1, FOLLOW / similar).distinct()
+        centred = checkpointed(_centred(large, classes))
+        near = centred.where(F.col("alike") >= similar - SLACK).where("node <> centre")
+        edges = edges.unionAll(near.select(F.col("node").alias("a"), F.col("centre").alias("b")))
+        rest = centred.where(F.col("alike") < RETIRED).select("path", "node")
+        rows = _followed(rest.join(classes, "node"), 1, FOLLOW / similar).distinct()
     return edges
 
 

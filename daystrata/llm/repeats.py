@@ -26,9 +26,11 @@ from daystrata.llm.words import (
     doc_id_of,
     keyed_texts,
     mixed,
+    packed_texts,
     raw_texts,
     rolling,
     shipped,
+    unpacked,
     word_hashes,
 )
 from daystrata.sources.files import checkpointed
@@ -83,8 +85,6 @@ def repeated(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, group: int
     ``found`` is a list of ``(first, bits)``: bit k says that the window from word ``first + k`` on
     starts elsewhere too.
     """
-    keyed = keyed_texts(shipped(docs))
-
     def grams_of(batches):
         for batch in batches:
             rows = [
@@ -96,7 +96,7 @@ def repeated(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, group: int
                 names=[*_KEYS, "grams"],
             )
 
-    placed = keyed.mapInArrow(
+    placed = keyed_texts(shipped(docs)).mapInArrow(
         grams_of, "doc_key bigint, text_key bigint, grams array<bigint>"
     )
     places = placed.select(*_KEYS, F.explode("grams").alias("gram"))
@@ -109,9 +109,9 @@ def repeated(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, group: int
             F.collect_set(F.when(hot, F.col("gram"))).alias("hot"),
         )
     )
-    searched = keyed.join(wanted, _KEYS)
-    cold = _subtrees(searched.select(*_KEYS, "text", "cold"), window, gram)
-    long = _long_prefixes(searched.select(*_KEYS, "text", "hot"), window, gram)
+    searched = packed_texts(docs).join(wanted, _KEYS)
+    cold = _subtrees(searched.select(*_KEYS, "packed", "cold"), window, gram)
+    long = _long_prefixes(searched.select(*_KEYS, "packed", "hot"), window, gram)
     bits = cold.unionAll(long)
     return bits.groupBy(*_KEYS).agg(F.collect_list(F.struct("first", "bits")).alias("found"))
 
@@ -119,7 +119,7 @@ def repeated(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, group: int
 def _spans(batch, column: int, window: int, gram: int):
     """Row, word hashes and wanted spans ``(gram, first, last)`` of a batch's documents."""
     wanted = batch.column(column)
-    for i, text in enumerate(raw_texts(batch)):
+    for i, text in enumerate(unpacked(batch)):
         keys = wanted[i].values.to_numpy(zero_copy_only=False)
         if not len(keys):
             continue
@@ -243,8 +243,6 @@ def _long_prefixes(searched: DataFrame, window: int, gram: int) -> DataFrame:
         runs, "doc_key bigint, text_key bigint, first int, run bigint, labels array<bigint>"
     )
     different = rows.groupBy("run").agg(F.count("*").alias("n"), F.first("labels").alias("labels"))
-    # Every run once: few compared with their places.
-    different = checkpointed(different)
     windows = different.select("run", "n", F.posexplode("labels").alias("k", "label"))
     twice = windows.groupBy("label").agg(F.sum("n").alias("n")).where("n > 1").select("label")
     alone = windows.where("n = 1").join(twice, "label")
@@ -266,13 +264,11 @@ def remove(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, group: int =
     row; an empty table gives no rows; other columns are ignored.
     """
     found = repeated(docs, window, gram, group)
-    keyed = keyed_texts(shipped(docs))
-
     def cut(batches):
         for batch in batches:
             rows = []
             marks = batch.column(2).to_pylist()
-            for doc_id, text, mark in zip(batch.column(0).to_pylist(), raw_texts(batch), marks):
+            for doc_id, text, mark in zip(batch.column(0).to_pylist(), unpacked(batch), marks):
                 words = text.split()
                 gone = covered(len(words), mark, window)
                 kept = b" ".join(w for w, g in zip(words, gone) if not g) if mark else b" ".join(words)
@@ -285,8 +281,8 @@ def remove(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, group: int =
                 names=["doc_id", "n_words", "n_removed", "kept_text", "kept_sha256"],
             )
 
-    marked = keyed.join(found, _KEYS, "left")
-    return marked.select(doc_id_of("doc_key"), "text", "found").mapInArrow(
+    marked = packed_texts(docs).join(found, _KEYS, "left")
+    return marked.select(doc_id_of("doc_key"), "packed", "found").mapInArrow(
         cut,
         "doc_id bigint, n_words bigint, n_removed bigint, kept_text string, kept_sha256 string",
     )
