@@ -25,10 +25,13 @@ def normalise_hour(col: Column | str) -> Column:
     Only the third and fourth of four zero-padded digits are kept, so ``900`` gives ``00:00:00``;
     run ``hour_out_of_range`` on the raw value first when the input may hold anything else.
     """
-    two = F.lpad(as_column(col), 4, "0").substr(3, 4)
-    other = F.regexp_replace(F.rpad(two, 6, "0"), r"(\d\d)", "$1:").substr(1, 8)
-    # The usual case needs no replacing.
-    return F.when(two.rlike("^[0-9]{2}$"), F.concat(two, F.lit(":00:00"))).otherwise(other)
+    col = as_column(col)
+    # Of four characters, zeros put before a shorter text, the last two.
+    head = F.substring(col, 1, 4)
+    two = F.right(F.concat(F.lit("00"), head), F.lit(2))
+    digit, other = F.substring(two, 2, 1).rlike("[0-9]"), F.substring(two, 1, 1).rlike("[0-9]")
+    tail = F.when(digit & other, ":00:00").when(digit, "0:00:0").otherwise("00:00:")
+    return F.concat(two, tail)
 
 
 def name_date(

@@ -45,9 +45,11 @@ def first_max_record(df: DataFrame, value: str, order: Sequence[str]) -> DataFra
     Rows with a null in ``value`` or ``order`` do not take part.
     """
     known = df.where(_all([quoted(name).isNotNull() for name in (value, *order)]))
-    ties = where_max(known, value)
-    key = F.struct(*map(quoted, order))
-    return ties.where(key == ties.agg(F.min(key)).scalar())
+    # The least of (negated value, order) in one pass; Spark holds NaN the largest, so it goes first.
+    number = quoted(value)
+    top = F.struct((~F.isnan(number.cast("double"))).alias("n"), (-number).alias("v"), *map(quoted, order))
+    first = known.agg(F.min(top).alias("first"))
+    return known.where(top == first.scalar())
 
 
 def hottest_record(df: DataFrame, config: ObservationConfig = WEATHER) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date
 
@@ -10,9 +10,19 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from daystrata.config import WEATHER, ObservationConfig
-from daystrata.operators import clean, hottest_record
+from daystrata.functions.text import FILE_DATE_FORMAT, FILE_DATE_PATTERN, name_date
+from daystrata.operators import (
+    cast_failures,
+    check_not_empty,
+    clean,
+    file_row_counts,
+    hottest_record,
+    reconcile_counts,
+    row_count_report,
+)
 from daystrata.sinks import write_clean, write_raw
 from daystrata.sources import (
+    list_files,
     read_archives,
     read_clean,
     read_landing_csv,
@@ -23,11 +33,33 @@ from daystrata.sources import (
 
 @dataclass(frozen=True)
 class LayerRun:
-    """What a run wrote, and its answer as a lazy frame."""
+    """What a run wrote, and as lazy frames its answer and checks.
+
+    ``report`` stacks rows per landing file (per raw day when archives were read) and per raw day,
+    ``reconciled`` compares rows by file date between raw and the cleaned input, and ``failures``
+    counts values that do not survive their cast. All look at the file dates of this run.
+    """
 
     raw: Observation
     clean: Observation
     answer: DataFrame
+    report: DataFrame
+    reconciled: DataFrame
+    failures: DataFrame
+    file_dates: tuple[date, ...]
+
+
+def landed_dates(
+    spark: SparkSession,
+    landing: str,
+    pattern: str = FILE_DATE_PATTERN,
+    fmt: str = FILE_DATE_FORMAT,
+    name: str = "_metadata.file_name",
+) -> tuple[date, ...]:
+    """The dates in the names of landing files; one value per day, from the listing alone."""
+    column = {"_metadata.file_name": "file_name", "_metadata.file_path": "file_path"}[name]
+    dates = list_files(spark, landing, "*.csv").select(name_date(F.col(column), pattern, fmt).alias("d"))
+    return tuple(row["d"] for row in dates.where("d is not null").distinct().orderBy("d").collect())
 
 
 def land_to_raw(
@@ -38,25 +70,30 @@ def land_to_raw(
     columns: Sequence[str] | None = None,
     on_header_mismatch: str = "fail",
     gather_days: bool = False,
+    file_dates: Sequence[date] | None = None,
     **file_date,
 ) -> Observation:
     """Loose CSV files below ``landing``, or members of ``archives``, into the raw layer.
 
     Loose files are not shuffled; ``gather_days`` does so where a date comes in very many small
-    files, to write fewer.
+    files, to write fewer. ``on_duplicate_date="latest"`` keeps the last modified file of a date and
+    makes the listing for it. ``file_dates`` names the dates that this landing stands for: those
+    without rows now are emptied in raw.
     """
     if (landing is None) == (archives is None):
         raise ValueError("give either landing or archives")
     if landing is not None:
         rows = read_landing_csv(spark, landing, columns, on_header_mismatch=on_header_mismatch)
+        if file_date.get("on_duplicate_date") == "latest":
+            file_date.setdefault("listing", list_files(spark, landing, "*.csv"))
         dated = with_file_date(rows, **file_date)
-        return write_raw(dated, raw_root, gather_days=gather_days)
+        return write_raw(dated, raw_root, gather_days=gather_days, file_dates=file_dates)
     if columns is None:
         raise ValueError("archives need columns")
     rows = read_archives(spark, archives, columns, on_header_mismatch=on_header_mismatch)
     dated = with_file_date(rows, name="member", **file_date).drop("archive", "member")
     # A task unzips members of many dates, and may be handed any part of a large one.
-    return write_raw(dated, raw_root, gather_days=True)
+    return write_raw(dated, raw_root, gather_days=True, file_dates=file_dates)
 
 
 def raw_to_clean(
@@ -66,15 +103,25 @@ def raw_to_clean(
     start: date | str | None = None,
     end: date | str | None = None,
     config: ObservationConfig = WEATHER,
+    file_dates: Sequence[date] | None = None,
     **fill,
 ) -> Observation:
-    """Cleans the raw days between two file dates into the clean layer.
+    """Cleans raw rows into the clean layer, all of them or those of some file dates.
 
-    The clean layer is replaced by observation day, so give every file date that holds rows of a
-    day in one call.
+    The layer keeps apart, within an observation day, what came from which file date. So a bounded run
+    replaces exactly what those file dates gave before: rows of other files in the same days stay,
+    and days that a corrected file no longer holds lose its rows. Without bounds the layer
+    becomes what raw holds, whatever it held before.
     """
-    raw = read_raw(spark, raw_root, start, end).drop(F.col("file_date"))
-    return write_clean(clean(raw, config, **fill), clean_root, config.day)
+    bounded = start is not None or end is not None or file_dates is not None
+    raw = read_raw(spark, raw_root, start, end, days=file_dates)
+    dates = None
+    if bounded:
+        known = raw.select("file_date").where("file_date is not null").distinct().collect()
+        dates = sorted({row["file_date"] for row in known} | set(file_dates or ()))
+    return write_clean(
+        clean(raw, config, **fill), clean_root, config.day, file_date="file_date", file_dates=dates, whole=not bounded
+    )
 
 
 def run(
@@ -87,11 +134,46 @@ def run(
     on_header_mismatch: str = "fail",
     gather_days: bool = False,
     config: ObservationConfig = WEATHER,
+    raise_if_empty: bool = False,
+    answer: str = "layer",
+    fill: Mapping[str, object] | None = None,
     **file_date,
 ) -> LayerRun:
-    """All layers, then the hottest record over the whole clean layer."""
+    """All layers for what has landed, with the checks of each step, and the hottest record.
+
+    Only the file dates that landed are cleaned. ``answer`` is over the whole clean layer, or, with
+    ``"run"``, over the rows of these file dates. ``fill`` goes to ``fill_by_type``.
+    ``raise_if_empty`` makes an empty landing an error.
+    """
+    if answer not in ("layer", "run"):
+        raise ValueError(f"answer={answer!r}")
+    naming = {k: v for k, v in file_date.items() if k in ("pattern", "fmt", "name")}
+    dates = landed_dates(spark, landing, **naming) if landing is not None else None
     raw = land_to_raw(
-        spark, raw_root, landing, archives, columns, on_header_mismatch, gather_days, **file_date
+        spark, raw_root, landing, archives, columns, on_header_mismatch, gather_days, dates,
+        **file_date,
+    )
+    landed = read_raw(spark, raw_root, days=dates)
+    check_not_empty(landed, raise_if_empty)
+    options = dict(fill or {})
+    cleaned = raw_to_clean(
+        spark, raw_root, clean_root, config=config, file_dates=dates, **options
+    )
+    again = clean(landed, config, **options)
+    days = file_row_counts(spark, raw_root, ".parquet", "parquet", name="day")
+    source = days
+    if landing is not None:
+        unit = "file" if naming.get("name", "_metadata.file_name").endswith("name") else r"([^/]+)/[^/]*$"
+        source = file_row_counts(spark, landing, ".csv", "csv", True, name=unit)
+    layer = read_clean(spark, clean_root) if answer == "layer" else again.where(
+        F.col(f"`{config.day}`").isNotNull()
+    )
+    return LayerRun(
+        raw,
+        cleaned,
+        hottest_record(layer, config),
+        row_count_report("SourceFile", "TargetFile", source, days),
+        reconcile_counts(landed, again.select("file_date")),
+        cast_failures(landed, config.types),
+        tuple(dates or ()),
     )
-    cleaned = raw_to_clean(spark, raw_root, clean_root, config=config)
-    return LayerRun(raw, cleaned, hottest_record(read_clean(spark, clean_root), config))

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daystrata.config import WEATHER
 from daystrata.sources.files import scratch_dir
 
-OBSERVED = (
-    "ForecastSiteCode ObservationTime ObservationDate WindDirection WindSpeed WindGust Visibility "
-    "ScreenTemperature Pressure SignificantWeatherCode Latitude Longitude Region"
-).split()
+# The observation columns by their roles; the order is the landing files'.
+_TYPE_OF = {name: kind for kind, names in WEATHER.types.items() for name in names}
+OBSERVED = [WEATHER.hour, *_TYPE_OF, WEATHER.region]
 ORDER_COLUMNS = ["o_orderkey", "o_orderdate", "o_totalprice", "o_orderstatus"]
 
 
@@ -64,19 +64,7 @@ def cast_sql(name: str, type_name: str) -> str:
     return f"try_cast({name} as {type_name})"
 
 
-TYPES_SQL = {
-    "ForecastSiteCode": "bigint",
-    "ObservationDate": "date",
-    "WindDirection": "int",
-    "WindSpeed": "int",
-    "WindGust": "int",
-    "Visibility": "bigint",
-    "ScreenTemperature": "double",
-    "Pressure": "int",
-    "SignificantWeatherCode": "int",
-    "Latitude": "double",
-    "Longitude": "double",
-}
+TYPES_SQL = dict(_TYPE_OF)
 
 
 def typed_sql(hour: str = "ObservationTime") -> str:

@@ -532,3 +532,113 @@ def archives_to_clean(spark, sf_dir):
     plans.raw_to_clean(spark, raw_root, clean_root)
     cleaned = sources.read_clean(spark, clean_root)
     return cleaned.withColumn("event_id", lenient_cast("event_id", "bigint"))
+
+
+_EARLY = "event_id % 3 <> 0"
+
+
+def _two_batches(spark, sf_dir, late_columns=None):
+    """Raw layer of all observations in two files' dates: a third of every day comes late."""
+    raw = I.obs_raw(spark, sf_dir)
+    root = scratch_dir(spark, "raw")
+    dated = raw.withColumn("file_date", F.expr(
+        f"case when {_EARLY} then date'2024-01-01' else date'2024-03-01' end"))
+    sinks.write_raw(dated.where(_EARLY).drop(*(late_columns or ())), root, gather_days=True)
+    return root, dated.where(f"not ({_EARLY})")
+
+
+@query(_SQL["clean_observations"])
+def clean_incremental(spark, sf_dir):
+    """Late rows for days already cleaned: cleaning their file alone leaves the other rows."""
+    root, late = _two_batches(spark, sf_dir)
+    clean_root = scratch_dir(spark, "clean")
+    plans.raw_to_clean(spark, root, clean_root)
+    sinks.write_raw(late, root, gather_days=True)
+    plans.raw_to_clean(spark, root, clean_root, start="2024-03-01", end="2024-03-31")
+    return sources.read_clean(spark, clean_root)
+
+
+@query(f"{I.CLEAN_CTE} select * from obs_clean where event_id % 3 <> 0 or day(ObservationDate) > 9")
+def clean_withdrawn_day(spark, sf_dir):
+    """The late file lands again without the first days of each month."""
+    root, late = _two_batches(spark, sf_dir)
+    clean_root = scratch_dir(spark, "clean")
+    sinks.write_raw(late, root, gather_days=True)
+    plans.raw_to_clean(spark, root, clean_root)
+    sinks.write_raw(late.where("day(cast(ObservationDate as date)) > 9"), root, gather_days=True)
+    plans.raw_to_clean(spark, root, clean_root, start="2024-03-01", end="2024-03-31")
+    return sources.read_clean(spark, clean_root)
+
+
+@query(
+    f"""{I.RAW_CTE} select * replace (case when event_id % 3 <> 0 then null else Pressure end
+      as Pressure), date '2024-01-01' as file_date from obs_raw where event_id % 3 <> 0
+    union all select *, date '2024-03-01' from obs_raw where event_id % 3 = 0"""
+)
+def raw_schema_drift(spark, sf_dir):
+    """The first file lacks a column; bounds that list its months and no others still show it."""
+    root, late = _two_batches(spark, sf_dir, ["Pressure"])
+    sinks.write_raw(late, root, gather_days=True)
+    early = sources.read_raw(spark, root, "2024-01-01", "2024-01-31")
+    return early.unionByName(sources.read_raw(spark, root, "2024-02-01", "2044-03-31"))
+
+
+@query(
+    f"""{I.CLEAN_CTE} select * replace (case when event_id % 3 <> 0 then 0 else Pressure end
+      as Pressure) from obs_clean"""
+)
+def clean_schema_drift(spark, sf_dir):
+    """A column that only the later file has reaches the clean layer, filled for the earlier one."""
+    root, late = _two_batches(spark, sf_dir, ["Pressure"])
+    sinks.write_raw(late, root, gather_days=True)
+    clean_root = scratch_dir(spark, "clean")
+    plans.raw_to_clean(spark, root, clean_root)
+    return sources.read_clean(spark, clean_root)
+
+
+_MONTH = "strftime(date_trunc('month', ts), '%Y%m%d')"
+
+
+@query(
+    f"""select 'rows of ' || {_MONTH} as what, count(*)::bigint as n from events group by 1
+    union all select 'failed ' || 'Pressure', count(*) from events where event_id % 11 = 0"""
+)
+def pipeline_checks(spark, sf_dir):
+    """A run's own report of rows per landing file, and the casts that failed."""
+    raw = I.obs_raw(spark, sf_dir)
+    stamp = F.date_format(F.trunc(derive_date("ObservationDate"), "month"), "yyyyMMdd")
+    columns = ["event_id", *I.OBSERVED]
+    landed = raw.select(*columns).withColumn("stamp", stamp)
+    done = plans.run(
+        spark,
+        scratch_dir(spark, "raw"),
+        scratch_dir(spark, "clean"),
+        landing=I.land_csv(landed, scratch_dir(spark, "landing"), "stamp"),
+        columns=columns,
+        raise_if_empty=True,
+        **I.LANDED,
+    )
+    date = F.regexp_replace(F.col("file_date").cast("string"), "-", "")
+    rows = done.reconciled.where("delta = 0").select(
+        F.concat(F.lit("rows of "), date).alias("what"), F.col("target_rows").alias("n")
+    )
+    failed = done.failures.where("failures > 0")
+    return rows.unionAll(failed.select(F.concat(F.lit("failed "), "column"), "failures"))
+
+
+@query(
+    """select event_id, cast(24 + event_id % 3 as varchar) as ObservationTime from events
+    where event_id % 97 = 0"""
+)
+def landing_hour_check(spark, sf_dir):
+    """All landing files stacked by name; by rule some raw hours are past the day's end."""
+    late = F.expr("case when event_id % 97 = 0 then cast(24 + event_id % 3 as string) "
+                  "else ObservationTime end")
+    raw = I.obs_raw(spark, sf_dir).withColumn("ObservationTime", late)
+    stamp = F.date_format(F.trunc(derive_date("ObservationDate"), "month"), "yyyyMMdd")
+    landed = raw.withColumn("stamp", stamp).select("event_id", "ObservationTime", "stamp")
+    landing = I.land_csv(landed, scratch_dir(spark, "landing"), "stamp")
+    rows = sources.read_landing_csv(spark, landing, ["event_id", "ObservationTime"])
+    return ops.hour_out_of_range(rows, "ObservationTime").withColumn(
+        "event_id", lenient_cast("event_id", "bigint")
+    )

@@ -2,17 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from collections.abc import Sequence
+from datetime import date
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from daystrata.functions.text import quoted
-from daystrata.sources.days import DAY_PARTS
+from daystrata.sources.days import DAY_PARTS, FILE_PART
+from daystrata.sources.files import checkpointed, list_files
+from daystrata.sources.schemas import keep_columns
 
 
 def write_by_day(
-    df: DataFrame, root: str, date_col: str, drop_null_day: bool, gather_days: bool = True
+    df: DataFrame,
+    root: str,
+    date_col: str,
+    drop_null_day: bool,
+    gather_days: bool = True,
+    file_date: str | None = None,
+    file_dates: Sequence[date] | None = None,
+    whole: bool = False,
 ) -> Observation:
-    """Replaces the days that ``df`` holds, below ``root/year=/month=/day=``; other days stay.
+    """Replaces days below ``root/year=/month=/day=`` by what ``df`` holds.
+
+    By default the days in ``df`` are replaced and all others stay. ``whole`` replaces the layer.
+    ``file_date`` names the column with the date of the file a row came from: it becomes a last
+    partition level, so that only those files' share of a day is replaced, and leaves the data. With
+    ``file_dates``, the files of the batch, what earlier runs of the same files left in cells that the
+    batch no longer holds is emptied: by file date, or, where there is no such level, by day.
 
     ``gather_days`` brings a day's rows together through ``REBALANCE``: a day below the session's
     ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` becomes one file, and adaptive execution
@@ -23,14 +42,23 @@ def write_by_day(
     ``written_rows``. They are taken in the last stage, whose tasks Spark counts once each, also
     when a lost executor makes tasks run again.
     """
-    taken = {name.lower() for name in df.columns} & set(DAY_PARTS)
+    spark = df.sparkSession
+    taken = {name.lower() for name in df.columns} & {*DAY_PARTS, FILE_PART}
     if taken:
         raise ValueError(f"partition columns are already there: {sorted(taken)}")
+    if gather_days and spark.conf.get("spark.sql.adaptive.enabled") != "true":
+        raise ValueError("gather_days needs spark.sql.adaptive.enabled")
     day = quoted(date_col)
     parts = [f(day).alias(name) for f, name in zip((F.year, F.month, F.dayofmonth), DAY_PARTS)]
-    rows = df.select("*", *parts)
+    kept = [quoted(name) for name in df.columns if name != file_date]
+    levels = list(DAY_PARTS)
+    if file_date is not None:
+        parts.append(quoted(file_date).alias(FILE_PART))
+        levels.append(FILE_PART)
+    rows = df.select(*kept, *parts)
+    keep_columns(df.select(*kept), root)
     if gather_days:
-        rows = rows.hint("rebalance", *DAY_PARTS)
+        rows = rows.hint("rebalance", *levels)
     counts = Observation()
     null_days = F.count_if(day.isNull())
     seen = F.count(F.lit(1))
@@ -43,24 +71,71 @@ def write_by_day(
     )
     if drop_null_day:
         rows = rows.where(day.isNotNull())
+    old = _files(spark, root, file_dates, file_date) if whole or file_dates is not None else None
     (
         rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*DAY_PARTS)
+        .partitionBy(*levels)
         .parquet(root)
     )
+    if old is not None:
+        _empty(rows.select(*kept), root, old, _files(spark, root, file_dates, file_date))
     return counts
 
 
+def _files(
+    spark: SparkSession, root: str, file_dates: Sequence[date] | None, file_date: str | None
+) -> DataFrame:
+    """Paths of the layer's data files, those of some file dates only."""
+    try:
+        found = checkpointed(list_files(spark, root, "*.parquet").select("file_path"))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "file_path string")
+    if file_dates is None:
+        return found
+    if file_date is not None:
+        dated = F.regexp_extract("file_path", rf"/{FILE_PART}=([0-9-]+)/", 1).try_cast("date")
+    else:
+        numbers = [F.regexp_extract("file_path", rf"/{name}=([0-9]+)/", 1) for name in DAY_PARTS]
+        dated = F.concat_ws("-", *numbers).try_cast("date")
+    return found.where(dated.isin(list(file_dates)) if file_dates else F.lit(False))
+
+
+def _empty(rows: DataFrame, root: str, old: DataFrame, new: DataFrame) -> None:
+    """Overwrites with nothing the cells whose files outlived the write; usually there are none."""
+    left = new.join(old, "file_path", "left_semi")
+    cells = left.select(F.regexp_extract("file_path", "^(.*)/[^/]*$", 1).alias("cell")).distinct()
+    nothing = rows.limit(0)
+    for cell in cells.toLocalIterator():
+        spark = rows.sparkSession
+        spark.createDataFrame([], nothing.schema).coalesce(1).write.mode("overwrite").parquet(cell["cell"])
+
+
 def write_raw(
-    df: DataFrame, root: str, date_col: str = "file_date", gather_days: bool = False
+    df: DataFrame,
+    root: str,
+    date_col: str = "file_date",
+    gather_days: bool = False,
+    file_dates: Sequence[date] | None = None,
 ) -> Observation:
     """Raw layer by file date. A landing split holds one file date, so by default no shuffle."""
-    return write_by_day(df, root, date_col, drop_null_day=False, gather_days=gather_days)
+    return write_by_day(
+        df, root, date_col, drop_null_day=False, gather_days=gather_days, file_dates=file_dates
+    )
 
 
 def write_clean(
-    df: DataFrame, root: str, date_col: str = "ObservationDate", drop_null_day: bool = True
+    df: DataFrame,
+    root: str,
+    date_col: str = "ObservationDate",
+    drop_null_day: bool = True,
+    file_date: str | None = None,
+    file_dates: Sequence[date] | None = None,
+    whole: bool = False,
 ) -> Observation:
     """Clean layer by observation day; rows without a day are left out and counted."""
-    return write_by_day(df, root, date_col, drop_null_day=drop_null_day)
+    return write_by_day(
+        df, root, date_col, drop_null_day, file_date=file_date, file_dates=file_dates, whole=whole
+    )

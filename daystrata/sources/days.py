@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# The partition columns of every layer.
+from daystrata.sources.schemas import known_columns
+
+# The partition columns of every layer, and of a layer that tells its rows' files apart.
 DAY_PARTS = ("year", "month", "day")
+FILE_PART = "from_file_date"
 
-# Longer ranges are cheaper to list as a whole.
+# Longer ranges are cheaper to list as a whole. The columns do not depend on it.
 _LISTED_MONTHS = 120
 
 
@@ -20,37 +24,47 @@ def read_days(
     root: str,
     start: date | str | None = None,
     end: date | str | None = None,
-    merge_schema: bool = False,
+    days: Sequence[date] | None = None,
 ) -> DataFrame:
-    """Rows of the days from ``start`` to ``end``, both included; other directories are not read.
+    """Rows of the days from ``start`` to ``end``, both included, or of ``days``; other directories
+    are not read.
 
     With both bounds only the months between them are listed, so the cost of planning does not grow
-    with the layer. Without bounds all rows come back, those without a day too.
+    with the layer. Without bounds all rows come back, those without a day too. The columns are all
+    that were ever written to the layer, whatever the bounds; a row written without one has null there.
     """
     first = date.fromisoformat(str(start)) if start is not None else None
     last = date.fromisoformat(str(end)) if end is not None else None
-    df = _scan(spark, root, first, last, merge_schema)
+    if days:
+        first, last = first or min(days), last or max(days)
+    df = _scan(spark, root, first, last)
     directory_day = F.make_date(*DAY_PARTS)
     if first is not None:
         df = df.where(directory_day >= F.lit(first))
     if last is not None:
         df = df.where(directory_day <= F.lit(last))
-    return df.drop(*DAY_PARTS)
-
-
-def _scan(
-    spark: SparkSession, root: str, first: date | None, last: date | None, merge_schema: bool
-) -> DataFrame:
-    reader = spark.read.option("mergeSchema", merge_schema)
+    if days is not None:
+        df = df.where(directory_day.isin(list(days)) if days else F.lit(False))
+    return df.drop(*DAY_PARTS, FILE_PART)
+
+
+def _scan(spark: SparkSession, root: str, first: date | None, last: date | None) -> DataFrame:
+    columns = known_columns(spark, root)
+    # A layer that another tool wrote has no column list: its files are asked, all of them.
+    reader = spark.read.option("mergeSchema", columns is None)
+    if columns is not None:
+        parts = [f"{name} int" for name in DAY_PARTS]
+        ddl = ", ".join([columns.toDDL(), *parts])
+        reader = reader.schema(ddl)
     months = _months(first, last) if first and last and not set(root) & set("{}[]*?\\") else []
-    if 0 < len(months) <= _LISTED_MONTHS:
+    if columns is not None and 0 < len(months) <= _LISTED_MONTHS:
         try:
             return reader.option("basePath", root).parquet(f"{root}/{{{','.join(months)}}}")
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
     # No such month: the whole layer has the columns, and the bounds leave no row.
-    return spark.read.option("mergeSchema", merge_schema).parquet(root)
+    return reader.parquet(root)
 
 
 def _months(first: date, last: date) -> list[str]:

@@ -52,14 +52,24 @@ def fits_broadcast(df: DataFrame, path: str) -> bool:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder name below the cluster's shared ``spark.checkpoint.dir``.
 
-    Only where that setting is absent, as in local tests, does a machine-local folder serve.
+    Only on a local master, as in tests, does a machine-local folder serve where that setting is
+    absent; on a cluster its nodes could not see each other's, so that is an error. What is written
+    there stays, as Spark's own checkpoints do, unless ``spark.cleaner.referenceTracking.cleanCheckpoints``
+    is set, which covers checkpoints only.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="daystrata-")
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.conf.get("spark.master", "local").startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="daystrata-")
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Runs ``df`` once and keeps its rows in the shared checkpoint folder."""
+    """Runs ``df`` once and keeps its rows in the shared checkpoint folder.
+
+    A session without a checkpoint folder is given one below ``spark.checkpoint.dir``.
+    """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(scratch_dir(df.sparkSession, "checkpoint"))

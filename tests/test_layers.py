@@ -46,8 +46,9 @@ def store(tmp_path):
 
 
 def directories(root):
-    return sorted({p.split("/", p.count("/") - 3)[-1].rsplit("/", 1)[0]
-                   for p in glob.glob(f"{root}/*/*/*/*.parquet")})
+    paths = glob.glob(f"{root}/year=*/**/*.parquet", recursive=True)
+    return sorted({p.removeprefix(f"{root}/").split("/from_file_date")[0].split("/part-")[0]
+                   for p in paths})
 
 
 @pytest.mark.parametrize("way", ["landing", "archives"])
@@ -64,8 +65,8 @@ def test_run(spark, store, way):
     assert directories(cleaned) == [
         "year=2016/month=2/day=1", "year=2016/month=2/day=2", "year=2016/month=3/day=1",
     ]
-    # One file for each of these small days.
-    assert len(glob.glob(f"{cleaned}/*/*/*/*.parquet")) == 3
+    # One file for each file's share of these small days.
+    assert len(glob.glob(f"{cleaned}/*/*/*/*/*.parquet")) == 4
     assert set(dict(read_raw(spark, raw).drop("file_date").dtypes).values()) == {"string"}
     typed = dict(read_clean(spark, cleaned).dtypes)
     assert typed["ObservationDate"] == "date" and typed["Visibility"] == "bigint"
@@ -233,3 +234,64 @@ def test_clean_keeps_unlisted_columns(spark, store):
     cleaned = clean(read_landing_csv(spark, str(store / "landing")))
     assert cleaned.columns == COLUMNS
     assert cleaned.where("SiteName = 'BALTA, SOUND' and Pressure = 0").count() == 1
+
+
+def test_late_rows_leave_a_days_other_rows(spark, store):
+    """A second batch brings one more row for a day of the first."""
+    raw, cleaned = str(store / "raw"), str(store / "clean")
+    first = store / "first"
+    first.mkdir()
+    (store / "landing" / "2016" / "weather.20160201.csv").rename(first / "weather.20160201.csv")
+    plans.run(spark, raw, cleaned, landing=str(first))
+    done = plans.run(spark, raw, cleaned, landing=str(store / "landing"), answer="run")
+    assert done.file_dates == (datetime.date(2016, 3, 1),)
+    assert done.clean.get["seen_rows"] == 2
+    day = read_clean(spark, cleaned, "2016-02-02", "2016-02-02")
+    assert sorted(r["ScreenTemperature"] for r in day.collect()) == [0.0, 4.4]
+    assert [tuple(r) for r in done.answer.collect()] == HOTTEST[1:]
+    assert sorted(tuple(r) for r in hottest_record(read_clean(spark, cleaned)).collect()) == HOTTEST
+
+
+def test_withdrawn_rows_go(spark, store):
+    raw, cleaned = str(store / "raw"), str(store / "clean")
+    plans.run(spark, raw, cleaned, landing=str(store / "landing"))
+    header = ",".join(COLUMNS) + "\n"
+    february = store / "landing" / "2016" / "weather.20160201.csv"
+    february.write_text(header + FEB.splitlines(keepends=True)[0])
+    plans.run(spark, raw, cleaned, landing=str(store / "landing"))
+    assert read_raw(spark, raw).count() == 3
+    rows = read_clean(spark, cleaned).select("ObservationDate", "ScreenTemperature").collect()
+    assert sorted((r[0].day, r[1]) for r in rows) == [(1, 2.1), (1, 15.8), (2, 4.4)]
+    february.write_text(header)
+    plans.run(spark, raw, cleaned, landing=str(store / "landing"))
+    assert read_raw(spark, raw).count() == read_clean(spark, cleaned).count() == 2
+
+
+def test_new_column_is_there_whatever_the_bounds(spark, tmp_path):
+    old = spark.sql("select 'a' as x, date'2016-03-01' as file_date")
+    new = spark.sql("select 'b' as x, 'p' as y, date'2016-04-01' as file_date")
+    root = str(tmp_path / "raw")
+    write_raw(old, root)
+    write_raw(new, root)
+    for bounds in ((None, None), ("2016-03-01", "2016-03-31"), ("2016-01-01", "2036-01-01")):
+        assert read_raw(spark, root, *bounds).columns == ["x", "file_date", "y"]
+    with pytest.raises(ValueError, match="column x"):
+        write_raw(spark.sql("select 1 as x, date'2016-04-01' as file_date"), root)
+
+
+def test_checks_of_a_run(spark, store):
+    done = plans.run(
+        spark, str(store / "raw"), str(store / "clean"), landing=str(store / "landing"),
+        fill={"numeric_default": None}, raise_if_empty=True,
+    )
+    report = sorted(tuple(r) for r in done.report.collect())
+    assert report[0] == ("SourceFile", "weather.20160201.csv", 4) and len(report) == 4
+    assert all(r["delta"] == 0 for r in done.reconciled.collect())
+    failures = {r["column"]: r["failures"] for r in done.failures.collect()}
+    assert failures["Pressure"] == 1
+    assert read_clean(spark, str(store / "clean")).where("Pressure is null").count() == 1
+    with pytest.raises(ValueError, match="no rows"):
+        empty = store / "empty"
+        empty.mkdir()
+        (empty / "weather.20170101.csv").write_text(",".join(COLUMNS) + "\n")
+        plans.run(spark, str(store / "r2"), str(store / "c2"), landing=str(empty), raise_if_empty=True)
