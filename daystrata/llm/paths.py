@@ -26,6 +26,7 @@ from daystrata.llm.words import (
     raw_texts,
     rolling,
     shipped,
+    slices,
     word_hashes,
 )
 from daystrata.sources.files import checkpointed
@@ -42,7 +43,7 @@ BUCKET, LEVELS, FOLLOW = 48, 2, 1.0
 #: Share of tokens that agree with a bucket's centre from which a member is split no further.
 RETIRED = 0.85
 #: Classes of one block in the exact check.
-BLOCK = 1024
+BLOCK = 900
 
 _KEYS = ["doc_key", "text_key"]
 
@@ -75,7 +76,7 @@ def tokens(shingled: np.ndarray) -> np.ndarray:
 
 def _sketched(docs: DataFrame) -> DataFrame:
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             sets = [shingles(text.split()) for text in raw_texts(batch)]
             keys = [hashlib.md5(s.tobytes()).digest() if len(s) else None for s in sets]
             marks = [tokens(s).tobytes() if len(s) else None for s in sets]
@@ -145,14 +146,14 @@ def _compared(buckets: DataFrame) -> DataFrame:
 
 def _forest(nodes: list[bytes], linked: np.ndarray) -> list[tuple[bytes, bytes]]:
     """Pairs that join each connected part of a small graph to its least member."""
-    label = np.arange(len(nodes))
+    label = np.arange(len(nodes), dtype=np.int32)
     order = np.argsort(np.array(nodes, dtype=object))
-    rank = np.empty(len(nodes), np.int64)
+    rank = np.empty(len(nodes), np.int32)
     rank[order] = label
     label = rank.copy()
     np.fill_diagonal(linked, True)
     while True:
-        near = np.where(linked, label[None], len(nodes)).min(1)
+        near = np.where(linked, label[None], np.int32(len(nodes))).min(1)
         if (near == label).all():
             break
         label = near
@@ -309,7 +310,7 @@ def links(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     owner, at = owner[order], at[order]
     n = len(left)
     common = np.zeros((n, len(right)), np.float32)
-    width = 4096
+    width = 2048
     for begin in range(0, int(shared.sum()), width):
         a, b = np.searchsorted(at, [begin, begin + width])
         dense = np.zeros((len(every), width), np.float32)
@@ -353,7 +354,7 @@ def groups(docs: DataFrame, recall: float = RECALL, block: int = BLOCK) -> DataF
     )
 
     def sets_of(batches):
-        for batch in batches:
+        for batch in slices(batches):
             sets = [shingles(text.split()).astype("<u8").tobytes() for text in raw_texts(batch)]
             at = batch.schema.get_field_index("text")
             yield batch.set_column(at, "set", pa.array(sets, pa.binary()))

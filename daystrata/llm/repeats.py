@@ -30,6 +30,7 @@ from daystrata.llm.words import (
     raw_texts,
     rolling,
     shipped,
+    slices,
     unpacked,
     word_hashes,
 )
@@ -86,7 +87,7 @@ def repeated(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, group: int
     starts elsewhere too.
     """
     def grams_of(batches):
-        for batch in batches:
+        for batch in slices(batches):
             rows = [
                 _signed(passages(word_hashes(text.split()), window, gram)[0])
                 for text in raw_texts(batch)
@@ -265,7 +266,7 @@ def remove(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, group: int =
     """
     found = repeated(docs, window, gram, group)
     def cut(batches):
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             marks = batch.column(2).to_pylist()
             for doc_id, text, mark in zip(batch.column(0).to_pylist(), unpacked(batch), marks):

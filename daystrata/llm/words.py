@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Entries that a worker's memo holds before it starts afresh; bounds its memory.
-MEMO_ENTRIES = 400_000
+MEMO_ENTRIES = 150_000
 #: The same for words' token ids, which cost more to find.
 CODED_ENTRIES = 900_000
 
@@ -215,6 +215,13 @@ def coder(path: str, bytelevel: bool) -> WordCoder:
     return _CODERS[key]
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """Batches of fewer rows, for work that holds several times the text it looks at."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def in_batches(rows: Iterator[tuple], schema: pa.Schema, size: int = 2000) -> Iterator[pa.RecordBatch]:
     """Rows as record batches."""
     held: list[tuple] = []
