@@ -642,3 +642,29 @@ def landing_hour_check(spark, sf_dir):
     return ops.hour_out_of_range(rows, "ObservationTime").withColumn(
         "event_id", lenient_cast("event_id", "bigint")
     )
+
+
+@query(I.ORDER_ROWS_SQL)
+def archive_files(spark, sf_dir):
+    """Real archives, written by executors through Spark, read member by member."""
+    root = scratch_dir(spark, "archives")
+    zips = I.zipped(I.order_rows(spark, sf_dir), "file_month")
+
+    def land(batches):
+        import pyarrow as pa
+        from pyarrow import fs
+
+        store, folder = fs.FileSystem.from_uri(uri)
+        for batch in batches:
+            for name, content in zip(*(column.to_pylist() for column in batch.columns)):
+                store.create_dir(folder)
+                # Written aside and moved, so that a task run again leaves a whole file.
+                with store.open_output_stream(f"{folder}/_{name}") as out:
+                    out.write(content)
+                store.move(f"{folder}/_{name}", f"{folder}/{name}")
+            yield pa.RecordBatch.from_pydict({"path": batch.column(0)})
+
+    uri = root if "://" in root or root.startswith("file:") else f"file://{root}"
+    zips.mapInArrow(land, "path string").write.format("noop").mode("overwrite").save()
+    rows = sources.read_archives(spark, f"{root}/*.zip", I.ORDER_COLUMNS)
+    return sources.with_file_date(rows, name="member").drop("archive", "member")

@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Different header lines that one scan by name may meet.
+MAX_HEADERS = 1000
+
 
 def all_string(names: Sequence[str]) -> str:
     """DDL of a schema with every column as text."""
@@ -41,10 +44,38 @@ def pick(values: Column, places: Column, columns: Sequence[str]) -> list[Column]
     return [F.get(values, F.get(places, i)).alias(name) for i, name in enumerate(columns)]
 
 
-def union_of_names(headers: DataFrame) -> list[str]:
-    """Every name in any header, by first place; the driver gets a schema, not rows."""
-    named = headers.select(F.posexplode("fields").alias("place", "name")).where("name is not null")
-    order = named.groupBy(F.lower("name").alias("key")).agg(
-        F.min("place").alias("place"), F.min("name").alias("name")
-    )
-    return [row["name"] for row in order.orderBy("place", "name").select("name").collect()]
+def variants(headers: DataFrame) -> list[tuple[str, list[str | None]]]:
+    """The different header lines with their fields, the commonest first.
+
+    The driver holds them, so more than ``MAX_HEADERS`` are an error: such files do not share columns.
+    """
+    counted = headers.groupBy("header").agg(F.count("*").alias("n"))
+    width = counted.agg(F.max(width_bound(F.col("header")))).first()[0]
+    if width is None:
+        return []
+    rows = with_fields(counted, "header", width).orderBy(F.col("n").desc(), "header")
+    found = rows.limit(MAX_HEADERS + 1).select("header", "fields").collect()
+    if len(found) > MAX_HEADERS:
+        raise ValueError(f"more than {MAX_HEADERS} different headers")
+    return [(row["header"], list(row["fields"])) for row in found]
+
+
+def union_of_names(known: Sequence[tuple[str, Sequence[str | None]]]) -> list[str]:
+    """Every name in any header, by first place."""
+    first: dict[str, tuple[int, str]] = {}
+    for _, fields in known:
+        for place, name in enumerate(fields):
+            if name is not None:
+                key = name.lower()
+                old = first.get(key, (place, name))
+                first[key] = (min(old[0], place), min(old[1], name))
+    return [name for _, name in sorted(first.values())]
+
+
+def places(known: Sequence[tuple[str, Sequence[str | None]]], names: Sequence[str]) -> list[list[int]]:
+    """For each wanted name its 0-based place in every header, -1 where absent."""
+    lowered = [[(name or "").lower() for name in fields] for _, fields in known]
+    return [
+        [fields.index(name.lower()) if name.lower() in fields else -1 for fields in lowered]
+        for name in names
+    ]

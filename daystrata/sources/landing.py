@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from daystrata.functions.text import FILE_DATE_FORMAT, FILE_DATE_PATTERN, name_date, quoted
 from daystrata.sources import headers as H
-from daystrata.sources.files import checkpointed, fits_broadcast, reader
+from daystrata.sources.files import checkpointed, fits_broadcast, list_files, reader
 
 
 def read_landing_csv(
@@ -24,7 +24,7 @@ def read_landing_csv(
     Spark's CSV scan matches columns by position. ``"fail"`` makes it check each file's header and
     raise on another order or other names; ``columns=None`` then takes one file's header.
     ``"by_name"`` matches by header instead: ``columns=None`` takes all names found, and a column a
-    file lacks is null. It reads the text once more beforehand, for the headers.
+    file lacks is null. Beforehand the beginning of each file is read, for the headers.
 
     ``_metadata`` (file name, path, modification time) stays selectable on the result.
     """
@@ -98,7 +98,59 @@ def _with_header(spark: SparkSession, pattern: str):
 
 
 def _file_headers(spark: SparkSession, root: str | Sequence[str], pattern: str) -> DataFrame:
-    """``(header_path, header)``: each file's first line that is not blank."""
+    """``(header_path, header)``: each file's first line that is not blank.
+
+    Executors open each file and read its beginning only. Where a store opens to Spark's readers alone,
+    the text is scanned instead.
+    """
+
+    def beginnings(batches):
+        import pyarrow as pa
+        from pyarrow import fs
+
+        def header(path):
+            store, inner = fs.FileSystem.from_uri(path)
+            with store.open_input_stream(inner) as stream:
+                text, more = b"", True
+                while more:
+                    part = stream.read(1 << 16)
+                    more = bool(part)
+                    text += part
+                    *whole, rest = text.replace(b"\r", b"\n").split(b"\n")
+                    for line in whole if more else [*whole, rest]:
+                        if any(byte > 32 for byte in line):
+                            return line.decode("utf-8", "replace")
+                    text = rest
+            return None
+
+        for batch in batches:
+            paths = batch.column(0).to_pylist()
+            found, opened = [], []
+            for path in paths:
+                try:
+                    found.append(header(path))
+                    opened.append(True)
+                except (OSError, ValueError, NotImplementedError):
+                    found.append(None)
+                    opened.append(False)
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "header_path": pa.array(paths, pa.string()),
+                    "header": pa.array(found, pa.string()),
+                    "opened": pa.array(opened, pa.bool_()),
+                }
+            )
+
+    files = list_files(spark, root, pattern).select("file_path")
+    first = checkpointed(
+        files.mapInArrow(beginnings, "header_path string, header string, opened boolean")
+    )
+    if first.where("not opened").isEmpty():
+        return first.where("header is not null").select("header_path", "header")
+    return _scanned_headers(spark, root, pattern)
+
+
+def _scanned_headers(spark: SparkSession, root: str | Sequence[str], pattern: str) -> DataFrame:
     text = reader(spark, pattern).text(root)
     first_split = text.where("_metadata.file_block_start = 0").select(
         F.col("_metadata.file_path").alias("header_path"),
@@ -114,15 +166,11 @@ def _read_by_name(
     spark: SparkSession, root: str | Sequence[str], columns: Sequence[str] | None, pattern: str
 ) -> DataFrame:
     found = checkpointed(_file_headers(spark, root, pattern))
-    shape = found.agg(
-        F.max(H.width_bound(F.col("header"))).alias("width"),
-        F.count_distinct("header").alias("variants"),
-    ).first()
-    if shape["variants"] == 0:
+    variants = H.variants(found)
+    if not variants:
         return _with_header(spark, pattern).schema(H.all_string(columns or [])).csv(root)
-    fields = H.with_fields(found, "header", shape["width"])
-    names = list(columns) if columns is not None else H.union_of_names(fields)
-    if shape["variants"] == 1:
+    names = list(columns) if columns is not None else H.union_of_names(variants)
+    if len(variants) == 1:
         alike = _with_header(spark, pattern).csv(root)
         have = {name.lower(): name for name in alike.columns}
         return alike.select(
@@ -132,11 +180,22 @@ def _read_by_name(
                 for name in names
             ]
         )
-    generic = H.positional(shape["width"])
+    generic = H.positional(max(len(fields) for _, fields in variants))
     rows = _with_header(spark, pattern).schema(H.all_string(generic)).csv(root)
-    places = fields.select("header_path", H.positions(F.col("fields"), names).alias("places"))
-    # One row per file: broadcast when measured small, else an ordinary (skew-split) join.
-    if fits_broadcast(places, "header_path"):
-        places = F.broadcast(places)
-    joined = rows.join(places, F.col("_metadata.file_path") == F.col("header_path"), "left")
-    return joined.select(H.pick(F.array(*generic), F.col("places"), names))
+    # The commonest header is number 0; only files with another one are looked up.
+    numbers = F.array(*[F.lit(header) for header, _ in variants])
+    others = found.select(
+        "header_path", (F.array_position(numbers, F.col("header")) - 1).alias("number")
+    ).where("number > 0")
+    # One row per such file: broadcast when measured small, else an ordinary (skew-split) join.
+    if fits_broadcast(others, "header_path"):
+        others = F.broadcast(others)
+    joined = rows.join(others, F.col("_metadata.file_path") == F.col("header_path"), "left")
+    number = F.coalesce(F.col("number"), F.lit(0)).cast("int")
+    values = F.array(*generic)
+    return joined.select(
+        [
+            F.get(values, F.get(F.array(*map(F.lit, places)), number)).alias(name)
+            for name, places in zip(names, H.places(variants, names))
+        ]
+    )

@@ -104,7 +104,32 @@ def test_spreading_changes_no_row(spark, tmp_path, monkeypatch, mode):
     assert df.where("b = concat('b', a)").select("a").distinct().count() == 20000
 
 
+def test_members_are_dealt_before_they_are_read(spark, tmp_path):
+    pack(tmp_path / "a.zip", {f"weather.201602{d:02}.csv": f"a\n{d}\n" for d in range(1, 9)})
+    df = read_archives(spark, str(tmp_path / "a.zip"), ["a"])
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    # Names move, text does not: the one exchange is below the unzipping.
+    assert plan.count("Exchange") == 1 and plan.index("MapInArrow") < plan.index("Exchange")
+    assert sorted(r["a"] for r in df.collect()) == [str(d) for d in range(1, 9)]
+
+
 def test_only_a_hot_archive_is_spread(spark, tmp_path, monkeypatch):
+    """In a store that only Spark's readers open."""
+
+    def closed(prefix):
+        def listed(batches):
+            import pyarrow as pa
+
+            for batch in batches:
+                none = pa.nulls(batch.num_rows, pa.string())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), none, none], names=["archive", "member", "header"]
+                )
+
+        return listed
+
+    monkeypatch.setattr(archives_module, "_list_members", closed)
+
     def shuffles(glob):
         df = read_archives(spark, str(tmp_path / glob), ["a"])
         return "Exchange" in df._jdf.queryExecution().executedPlan().toString()
