@@ -28,6 +28,7 @@ from daystrata.llm.words import (
     packed_texts,
     raw_texts,
     shipped,
+    slices,
     unpacked,
 )
 from daystrata.sources.files import checkpointed
@@ -150,7 +151,7 @@ def _shared(keyed: DataFrame) -> tuple[DataFrame, DataFrame]:
     each the one place that encodes it."""
 
     def name_all(batches):
-        for batch in batches:
+        for batch in slices(batches):
             rows = [[name_of(c) for c in chunks] for chunks in chunks_of(raw_texts(batch))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(rows, pa.list_(pa.binary()))],
@@ -209,7 +210,7 @@ def encode(docs: DataFrame, tokenizer: str, with_ids: bool = False) -> DataFrame
 
     def assemble(batches):
         code = coder(tokenizer, False)
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             known = batch.column(2)
             texts_ = unpacked(batch)

@@ -151,6 +151,8 @@ class WordCoder:
         self.bytelevel = bytelevel
         self.dtype = "<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4"
         self.size = int(self.dtype[-1])
+        # Whole documents of ids stand beside the memo where words are encoded for joining.
+        self.entries = CODED_ENTRIES if bytelevel else CODED_ENTRIES // 2
         self._first: dict[str, bytes] = {}
         self._later: dict[str, bytes] = {}
         self._line_end = self._exact(["\n"])[0]
@@ -191,7 +193,7 @@ class WordCoder:
         try:
             return [memo[word] for word in words]
         except KeyError:
-            if len(memo) > CODED_ENTRIES:
+            if len(memo) > self.entries:
                 memo.clear()
             new = list(set(words).difference(memo))
             if not spaced:
