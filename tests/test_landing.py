@@ -201,3 +201,26 @@ def test_read_any(spark, tmp_path, fmt):
         "header", True
     ).save(path)
     assert rows(read_any(spark, path, fmt, header=True)) == [("1", "x")]
+
+
+def test_uncommon_headers_are_looked_up_without_a_shuffle(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x,y\n1,2\n")
+    (tmp_path / "b.csv").write_text("x,y\n3,4\n")
+    (tmp_path / "c.csv").write_text("\n \ny,z\n5,6\n")
+    df = read_landing_csv(spark, str(tmp_path), on_header_mismatch="by_name")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
+    for operator in ("Exchange hashpartitioning", "Sort", "Cartesian"):
+        assert operator not in plan
+    rows = sorted((r["x"] or "", r["y"], r["z"] or "") for r in df.collect())
+    assert rows == [("", "5", "6"), ("1", "2", ""), ("3", "4", "")]
+
+
+def test_too_many_headers_are_an_error(spark, tmp_path, monkeypatch):
+    from daystrata.sources import headers
+
+    monkeypatch.setattr(headers, "MAX_HEADERS", 1)
+    for number in range(2):
+        (tmp_path / f"{number}.csv").write_text(f"x{number}\n1\n")
+    with pytest.raises(ValueError, match="different headers"):
+        read_landing_csv(spark, str(tmp_path), on_header_mismatch="by_name")
