@@ -39,9 +39,10 @@ RECALL = 0.99999
 #: Minhash values per class, and the share of them by which candidates may fall short.
 TOKENS, SLACK = 64, 0.3
 #: Largest bucket compared pair by pair, levels of splitting, and linked tokens followed on deeper levels.
-BUCKET, LEVELS, FOLLOW = 48, 2, 1.0
-#: Share of tokens that agree with a bucket's centre from which a member is split no further.
-RETIRED = 0.85
+BUCKET, LEVELS, FOLLOW = 48, 2, 2.0
+#: Share of tokens that agree with a bucket's centre from which a member is split no further: at 0.95 a
+#: linked pair has to differ in 30 tokens (chance 1.2e-6) for the other one not to be joined to the centre.
+RETIRED = 0.95
 #: Classes of one block in the exact check.
 BLOCK = 900
 
@@ -185,6 +186,29 @@ def _centred(large: DataFrame, classes: DataFrame) -> DataFrame:
     )
 
 
+def missed(runs: int, similar: float = SIMILAR[0] / SIMILAR[1]) -> float:
+    """Chance that no run joins a pair at the threshold whose shared tokens all lie in large buckets, the
+    worst case: a token must be followed, and on its path one more on each deeper level."""
+    first, deeper = min(1.0, 1 / similar / TOKENS), min(1.0, FOLLOW / similar / TOKENS)
+    total = 0.0
+    for k in range(TOKENS + 1):
+        shared = math.comb(TOKENS, k) * similar**k * (1 - similar) ** (TOKENS - k)
+        found = 1.0
+        for _ in range(LEVELS - 1):
+            found = 1 - (1 - deeper * found) ** k
+        total += shared * (1 - first * found) ** (k * runs)
+    return total
+
+
+def runs_for(recall: float) -> int:
+    """The fewest runs that miss at most ``1 - recall`` over all levels."""
+    runs = 1
+    # With no shared token at all, about 1e-45, more runs do not help.
+    while missed(runs) > max(1 - recall, 1e-30):
+        runs += 1
+    return runs
+
+
 def candidates(classes: DataFrame, recall: float = RECALL) -> DataFrame:
     """``(a, b)`` whose connected parts hold, but for a chance of ``1 - recall`` each, every pair of
     classes that links. ``classes``: ``(node, tokens)``.
@@ -194,8 +218,7 @@ def candidates(classes: DataFrame, recall: float = RECALL) -> DataFrame:
     """
     similar = SIMILAR[0] / SIMILAR[1]
     # On average one shared token of a linked pair is followed in a run.
-    runs = math.ceil(-math.log(1 - recall))
-    rows = _followed(classes, runs, 1 / similar).distinct()
+    rows = _followed(classes, runs_for(recall), 1 / similar).distinct()
     edges = None
     for level in range(LEVELS):
         rows = checkpointed(rows)

@@ -238,6 +238,37 @@ def test_jaccard_groups(docs, monkeypatch, bucket, block):
     assert found == groups(rows_of(docs))
 
 
+def test_jaccard_recall_inside_large_buckets(spark):
+    """Linked pairs whose every token lies in a bucket of some hundred unlike classes."""
+    rng, n, recall = np.random.default_rng(7), 2000, 0.999
+    one = rng.integers(0, 20, (n, paths.TOKENS))
+    same = np.argsort(rng.random((n, paths.TOKENS)), 1) < paths.TOKENS * 4 // 5
+    other = np.where(same, one, rng.integers(0, 20, one.shape))
+    rows = [
+        (f"{i}{side}".encode(), values.astype("<u4").tobytes())
+        for side, table in (("a", one), ("b", other))
+        for i, values in enumerate(table)
+    ]
+    edges = paths.candidates(spark.createDataFrame(rows, "node binary, tokens binary"), recall)
+    # Large buckets followed by the same token again are joined whole; they say nothing here.
+    found = {frozenset((bytes(a), bytes(b))) for a, b in edges.collect()}
+    root = {node: node for node, _ in rows}
+
+    def find(x):
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    for a, b in map(tuple, found):
+        root[find(a)] = find(b)
+    lost = sum(find(f"{i}a".encode()) != find(f"{i}b".encode()) for i in range(n))
+    assert lost <= 3 * n * (1 - recall)
+
+
+def test_jaccard_runs_cover_every_level():
+    assert paths.missed(paths.runs_for(paths.RECALL)) <= 1 - paths.RECALL
+
+
 def test_jaccard_on_odd_rows(odd):
     rows = paths.groups(odd).collect()
     assert len(rows) == len(ODD)
