@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +30,7 @@ from daystrata.sources import (
     read_raw,
     with_file_date,
 )
+from daystrata.sources.days import DAY_PARTS, FILE_PART, NULL_PART
 
 
 @dataclass(frozen=True)
@@ -37,7 +39,8 @@ class LayerRun:
 
     ``report`` stacks rows per landing file (per raw day when archives were read) and per raw day,
     ``reconciled`` compares rows by file date between raw and the cleaned input, and ``failures``
-    counts values that do not survive their cast. All look at the file dates of this run.
+    counts values that do not survive their cast. They look at the file dates that this run cleaned.
+    ``file_dates`` are those that landed, ``None`` standing for files without a date in their name.
     """
 
     raw: Observation
@@ -46,7 +49,7 @@ class LayerRun:
     report: DataFrame
     reconciled: DataFrame
     failures: DataFrame
-    file_dates: tuple[date, ...]
+    file_dates: tuple[date | None, ...]
 
 
 def landed_dates(
@@ -55,11 +58,40 @@ def landed_dates(
     pattern: str = FILE_DATE_PATTERN,
     fmt: str = FILE_DATE_FORMAT,
     name: str = "_metadata.file_name",
-) -> tuple[date, ...]:
-    """The dates in the names of landing files; one value per day, from the listing alone."""
+) -> tuple[date | None, ...]:
+    """The dates in the names of landing files; one value per day, from the listing alone. ``None``
+    comes last where some files have no date."""
     column = {"_metadata.file_name": "file_name", "_metadata.file_path": "file_path"}[name]
     dates = list_files(spark, landing, "*.csv").select(name_date(F.col(column), pattern, fmt).alias("d"))
-    return tuple(row["d"] for row in dates.where("d is not null").distinct().orderBy("d").collect())
+    found = dates.distinct().orderBy(F.col("d").asc_nulls_last()).collect()
+    return tuple(row["d"] for row in found)
+
+
+def uncleaned_dates(spark: SparkSession, raw_root: str, clean_root: str) -> tuple[date | None, ...]:
+    """File dates of raw whose files are newer than what the clean layer has from them, or that it has
+    nothing from, as after a run that stopped between the layers; from the listings alone."""
+
+    def newest(root: str, level: str, dated, name: str) -> DataFrame:
+        files = list_files(spark, root, "*.parquet")
+        part = F.contains("file_path", F.lit(f"/{level}={NULL_PART}/"))
+        files = files.select(F.when(part, F.lit(None)).otherwise(dated).alias("d"), "modified", part.alias("undated"))
+        return files.where("undated or d is not null").groupBy("d").agg(F.max("modified").alias(name))
+
+    numbers = [F.regexp_extract("file_path", rf"/{name}=([0-9]+)/", 1) for name in DAY_PARTS]
+    raw = newest(raw_root, DAY_PARTS[0], F.concat_ws("-", *numbers).try_cast("date"), "landed")
+    try:
+        of = F.regexp_extract("file_path", rf"/{FILE_PART}=([0-9-]+)/", 1).try_cast("date")
+        known = newest(clean_root, FILE_PART, of, "cleaned").withColumnRenamed("d", "k")
+        raw = raw.join(known, F.col("d").eqNullSafe(F.col("k")), "left")
+        raw = raw.where("cleaned is null or landed > cleaned")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    return tuple(row["d"] for row in raw.select("d").collect())
+
+
+def _in_order(dates: set[date | None]) -> tuple[date | None, ...]:
+    return tuple(sorted(dates, key=lambda day: (day is None, day or date.min)))
 
 
 def land_to_raw(
@@ -70,7 +102,7 @@ def land_to_raw(
     columns: Sequence[str] | None = None,
     on_header_mismatch: str = "fail",
     gather_days: bool = False,
-    file_dates: Sequence[date] | None = None,
+    file_dates: Sequence[date | None] | None = None,
     **file_date,
 ) -> Observation:
     """Loose CSV files below ``landing``, or members of ``archives``, into the raw layer.
@@ -103,7 +135,7 @@ def raw_to_clean(
     start: date | str | None = None,
     end: date | str | None = None,
     config: ObservationConfig = WEATHER,
-    file_dates: Sequence[date] | None = None,
+    file_dates: Sequence[date | None] | None = None,
     **fill,
 ) -> Observation:
     """Cleans raw rows into the clean layer, all of them or those of some file dates.
@@ -111,14 +143,15 @@ def raw_to_clean(
     The layer keeps apart, within an observation day, what came from which file date. So a bounded run
     replaces exactly what those file dates gave before: rows of other files in the same days stay,
     and days that a corrected file no longer holds lose its rows. Without bounds the layer
-    becomes what raw holds, whatever it held before.
+    becomes what raw holds, whatever it held before. ``None`` among ``file_dates`` stands for the
+    rows of files without a date.
     """
     bounded = start is not None or end is not None or file_dates is not None
     raw = read_raw(spark, raw_root, start, end, days=file_dates)
     dates = None
     if bounded:
         known = raw.select("file_date").where("file_date is not null").distinct().collect()
-        dates = sorted({row["file_date"] for row in known} | set(file_dates or ()))
+        dates = _in_order({row["file_date"] for row in known} | set(file_dates or ()))
     return write_clean(
         clean(raw, config, **fill), clean_root, config.day, file_date="file_date", file_dates=dates, whole=not bounded
     )
@@ -141,8 +174,9 @@ def run(
 ) -> LayerRun:
     """All layers for what has landed, with the checks of each step, and the hottest record.
 
-    Only the file dates that landed are cleaned. ``answer`` is over the whole clean layer, or, with
-    ``"run"``, over the rows of these file dates. ``fill`` goes to ``fill_by_type``.
+    Only the file dates that landed are cleaned, files without a date among them, and those that an
+    earlier run left in raw without cleaning them. ``answer`` is over the whole clean layer, or, with
+    ``"run"``, over the rows of the file dates that landed. ``fill`` goes to ``fill_by_type``.
     ``raise_if_empty`` makes an empty landing an error.
     """
     if answer not in ("layer", "run"):
@@ -156,16 +190,21 @@ def run(
     landed = read_raw(spark, raw_root, days=dates)
     check_not_empty(landed, raise_if_empty)
     options = dict(fill or {})
+    cleanable = landed
+    wanted = dates
+    if dates is not None:
+        wanted = _in_order({*dates, *uncleaned_dates(spark, raw_root, clean_root)})
+        cleanable = read_raw(spark, raw_root, days=wanted)
     cleaned = raw_to_clean(
-        spark, raw_root, clean_root, config=config, file_dates=dates, **options
+        spark, raw_root, clean_root, config=config, file_dates=wanted, **options
     )
-    again = clean(landed, config, **options)
+    again = clean(cleanable, config, **options)
     days = file_row_counts(spark, raw_root, ".parquet", "parquet", name="day")
     source = days
     if landing is not None:
         unit = "file" if naming.get("name", "_metadata.file_name").endswith("name") else r"([^/]+)/[^/]*$"
         source = file_row_counts(spark, landing, ".csv", "csv", True, name=unit)
-    layer = read_clean(spark, clean_root) if answer == "layer" else again.where(
+    layer = read_clean(spark, clean_root) if answer == "layer" else clean(landed, config, **options).where(
         F.col(f"`{config.day}`").isNotNull()
     )
     return LayerRun(
@@ -173,7 +212,7 @@ def run(
         cleaned,
         hottest_record(layer, config),
         row_count_report("SourceFile", "TargetFile", source, days),
-        reconcile_counts(landed, again.select("file_date")),
-        cast_failures(landed, config.types),
+        reconcile_counts(cleanable, again.select("file_date")),
+        cast_failures(cleanable, config.types),
         tuple(dates or ()),
     )

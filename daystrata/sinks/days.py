@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from daystrata.functions.text import quoted
-from daystrata.sources.days import DAY_PARTS, FILE_PART
+from daystrata.sources.days import DAY_PARTS, FILE_PART, NULL_PART
 from daystrata.sources.files import checkpointed, list_files
 from daystrata.sources.schemas import keep_columns
 
@@ -22,7 +22,7 @@ def write_by_day(
     drop_null_day: bool,
     gather_days: bool = True,
     file_date: str | None = None,
-    file_dates: Sequence[date] | None = None,
+    file_dates: Sequence[date | None] | None = None,
     whole: bool = False,
 ) -> Observation:
     """Replaces days below ``root/year=/month=/day=`` by what ``df`` holds.
@@ -31,7 +31,8 @@ def write_by_day(
     ``file_date`` names the column with the date of the file a row came from: it becomes a last
     partition level, so that only those files' share of a day is replaced, and leaves the data. With
     ``file_dates``, the files of the batch, what earlier runs of the same files left in cells that the
-    batch no longer holds is emptied: by file date, or, where there is no such level, by day.
+    batch no longer holds is emptied: by file date, or, where there is no such level, by day. ``None``
+    among them stands for the files without a date.
 
     ``gather_days`` brings a day's rows together through ``REBALANCE``: a day below the session's
     ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` becomes one file, and adaptive execution
@@ -84,7 +85,7 @@ def write_by_day(
 
 
 def _files(
-    spark: SparkSession, root: str, file_dates: Sequence[date] | None, file_date: str | None
+    spark: SparkSession, root: str, file_dates: Sequence[date | None] | None, file_date: str | None
 ) -> DataFrame:
     """Paths of the layer's data files, those of some file dates only."""
     try:
@@ -100,7 +101,12 @@ def _files(
     else:
         numbers = [F.regexp_extract("file_path", rf"/{name}=([0-9]+)/", 1) for name in DAY_PARTS]
         dated = F.concat_ws("-", *numbers).try_cast("date")
-    return found.where(dated.isin(list(file_dates)) if file_dates else F.lit(False))
+    known = [day for day in file_dates if day is not None]
+    wanted = dated.isin(known) if known else F.lit(False)
+    if len(known) < len(file_dates):
+        level = FILE_PART if file_date is not None else DAY_PARTS[0]
+        wanted = F.coalesce(wanted, F.lit(False)) | F.contains("file_path", F.lit(f"/{level}={NULL_PART}/"))
+    return found.where(wanted)
 
 
 def _empty(rows: DataFrame, root: str, old: DataFrame, new: DataFrame) -> None:

@@ -14,6 +14,7 @@ from daystrata.sources.schemas import known_columns
 # The partition columns of every layer, and of a layer that tells its rows' files apart.
 DAY_PARTS = ("year", "month", "day")
 FILE_PART = "from_file_date"
+NULL_PART = "__HIVE_DEFAULT_PARTITION__"
 
 # Longer ranges are cheaper to list as a whole. The columns do not depend on it.
 _LISTED_MONTHS = 120
@@ -24,10 +25,10 @@ def read_days(
     root: str,
     start: date | str | None = None,
     end: date | str | None = None,
-    days: Sequence[date] | None = None,
+    days: Sequence[date | None] | None = None,
 ) -> DataFrame:
     """Rows of the days from ``start`` to ``end``, both included, or of ``days``; other directories
-    are not read.
+    are not read. ``None`` among ``days`` stands for the rows without a day; other bounds leave them out.
 
     With both bounds only the months between them are listed, so the cost of planning does not grow
     with the layer. Without bounds all rows come back, those without a day too. The columns are all
@@ -35,20 +36,27 @@ def read_days(
     """
     first = date.fromisoformat(str(start)) if start is not None else None
     last = date.fromisoformat(str(end)) if end is not None else None
-    if days:
-        first, last = first or min(days), last or max(days)
-    df = _scan(spark, root, first, last)
+    known = None if days is None else [day for day in days if day is not None]
     directory_day = F.make_date(*DAY_PARTS)
+    if days is not None and len(known) < len(days) and first is None and last is None:
+        df = _scan(spark, root, min(known, default=None), max(known, default=None), undated=True)
+        wanted = directory_day.isNull() | directory_day.isin(known)
+        return df.where(wanted).drop(*DAY_PARTS, FILE_PART)
+    if known:
+        first, last = first or min(known), last or max(known)
+    df = _scan(spark, root, first, last)
     if first is not None:
         df = df.where(directory_day >= F.lit(first))
     if last is not None:
         df = df.where(directory_day <= F.lit(last))
     if days is not None:
-        df = df.where(directory_day.isin(list(days)) if days else F.lit(False))
+        df = df.where(directory_day.isin(known) if known else F.lit(False))
     return df.drop(*DAY_PARTS, FILE_PART)
 
 
-def _scan(spark: SparkSession, root: str, first: date | None, last: date | None) -> DataFrame:
+def _scan(
+    spark: SparkSession, root: str, first: date | None, last: date | None, undated: bool = False
+) -> DataFrame:
     columns = known_columns(spark, root)
     # A layer that another tool wrote has no column list: its files are asked, all of them.
     reader = spark.read.option("mergeSchema", columns is None)
@@ -57,6 +65,8 @@ def _scan(spark: SparkSession, root: str, first: date | None, last: date | None)
         ddl = ", ".join([columns.toDDL(), *parts])
         reader = reader.schema(ddl)
     months = _months(first, last) if first and last and not set(root) & set("{}[]*?\\") else []
+    if undated and months:
+        months.append(f"year={NULL_PART}/month={NULL_PART}")
     if columns is not None and 0 < len(months) <= _LISTED_MONTHS:
         try:
             return reader.option("basePath", root).parquet(f"{root}/{{{','.join(months)}}}")

@@ -267,6 +267,43 @@ def test_withdrawn_rows_go(spark, store):
     assert read_raw(spark, raw).count() == read_clean(spark, cleaned).count() == 2
 
 
+@pytest.mark.parametrize("dated", [True, False])
+def test_files_without_a_date_are_cleaned(spark, store, dated):
+    raw, cleaned, landing = str(store / "raw"), str(store / "clean"), store / "landing"
+    undated = landing / "weather.csv"
+    if dated:
+        (landing / "2016" / "weather.20160201.csv").rename(undated)
+    else:
+        (landing / "weather.20160301.csv").rename(landing / "march.csv")
+        (landing / "2016" / "weather.20160201.csv").rename(undated)
+    done = plans.run(spark, raw, cleaned, landing=str(landing), answer="run")
+    assert done.file_dates == ((datetime.date(2016, 3, 1), None) if dated else (None,))
+    assert done.clean.get == {"seen_rows": 6, "null_days": 1, "written_rows": 5}
+    landed = clean(read_landing_csv(spark, str(landing)).select(*COLUMNS))
+    landed = landed.where("ObservationDate is not null")
+    assertDataFrameEqual(read_clean(spark, cleaned).select(*COLUMNS), landed.select(*COLUMNS))
+    assert sorted(map(tuple, done.answer.collect())) == HOTTEST
+    assert sum(r["source_rows"] for r in done.reconciled.collect()) == 6
+    # A corrected file replaces what the undated files gave before, and nothing else.
+    undated.write_text(",".join(COLUMNS) + "\n" + FEB.splitlines(keepends=True)[0])
+    plans.run(spark, raw, cleaned, landing=str(landing))
+    assert read_clean(spark, cleaned).count() == 3 and read_raw(spark, raw).count() == 3
+
+
+def test_dates_left_between_the_layers_are_cleaned(spark, store):
+    raw, cleaned, landing = str(store / "raw"), str(store / "clean"), str(store / "landing")
+    first = store / "first"
+    first.mkdir()
+    (store / "landing" / "2016" / "weather.20160201.csv").rename(first / "weather.20160201.csv")
+    plans.land_to_raw(spark, raw, str(first))
+    done = plans.run(spark, raw, cleaned, landing=landing)
+    assert done.file_dates == (datetime.date(2016, 3, 1),) and done.clean.get["seen_rows"] == 6
+    assert sorted(map(tuple, done.answer.collect())) == HOTTEST
+    plans.land_to_raw(spark, raw, str(first))
+    assert plans.run(spark, raw, cleaned, landing=landing).clean.get["seen_rows"] == 6
+    assert plans.run(spark, raw, cleaned, landing=landing).clean.get["seen_rows"] == 2
+
+
 def test_new_column_is_there_whatever_the_bounds(spark, tmp_path):
     old = spark.sql("select 'a' as x, date'2016-03-01' as file_date")
     new = spark.sql("select 'b' as x, 'p' as y, date'2016-04-01' as file_date")
