@@ -2,8 +2,8 @@
 
 Lines that begin with one or more ``>`` are quoted, as deep as there are marks. Neighbouring lines of one
 depth form a passage. Passages are hashed after folding case and white space, and looked up among the
-lines, paragraphs and whole own texts of earlier messages of the conversation. What is left of a
-message is its own text, placed under the message that it answers. Spark functions only.
+lines, paragraphs and whole own texts of earlier messages of the conversation. A passage that is none of
+these is looked up by its paragraphs and lines. What is left of a message is its own text, placed under the message that it answers. Spark functions only.
 """
 
 from __future__ import annotations
@@ -56,7 +56,8 @@ def _links(runs: DataFrame) -> DataFrame:
     """``(conv_id, turn, reply_to, n_linked)`` of messages with a quote whose source is known.
 
     Sources and quotes of one text in one conversation are one sorted sequence in which each quote
-    takes the last source before it, so nothing is paired off.
+    takes the last source before it, so nothing is paired off. Only quotes without a source so are
+    taken to pieces.
     """
     own = F.expr("filter(runs, r -> r.depth = 0)")
     parts = F.expr(
@@ -64,20 +65,25 @@ def _links(runs: DataFrame) -> DataFrame:
         "flatten(transform(own, r -> split(r.text, '\\n[ \\\\t]*\\n')))))"
     )
     sources = runs.withColumn("own", own).select(
-        "conv_id", "turn", F.lit(0).alias("depth"), F.explode(parts).alias("part")
+        "conv_id", "turn", F.lit(0).alias("depth"), F.explode(parts).alias("part"),
+        F.lit(None).cast("string").alias("text"),
     )
     quotes = runs.select(
         "conv_id", "turn", F.explode(F.expr("filter(runs, r -> r.depth > 0)")).alias("q")
-    ).select("conv_id", "turn", "q.depth", F.col("q.text").alias("part"))
+    ).select("conv_id", "turn", "q.depth", F.col("q.text").alias("part"), "q.text")
     folded = sources.unionAll(quotes).withColumn("part", F.expr(_FOLDED.format("part")))
     hashed = folded.where("part <> '' and conv_id is not null and turn is not null").select(
-        "conv_id", "turn", "depth", F.sha2("part", 256).alias("hash")
+        "conv_id", "turn", "depth", F.sha2("part", 256).alias("hash"), "text"
     )
     before = (
         Window.partitionBy("conv_id", "hash").orderBy("turn").rangeBetween(Window.unboundedPreceding, -1)
     )
     source = F.last(F.when(F.col("depth") == 0, F.col("turn")), ignorenulls=True).over(before)
-    found = hashed.withColumn("source", source).where("depth > 0 and source is not null")
+    quoted = checkpointed(hashed.withColumn("source", source).where("depth > 0"))
+    found = quoted.where("source is not null").select("conv_id", "turn", "depth", "source")
+    loose = quoted.where("source is null and text like '%\n%'")
+    if not loose.isEmpty():
+        found = found.unionAll(_by_pieces(loose, hashed.where("depth = 0")))
     # The shallowest quote says what is answered; of several the latest source.
     nearest = F.max(F.struct((-F.col("depth")).alias("d"), F.col("source")))
     return found.groupBy("conv_id", "turn").agg(
@@ -85,6 +91,41 @@ def _links(runs: DataFrame) -> DataFrame:
     )
 
 
+def _by_pieces(loose: DataFrame, sources: DataFrame) -> DataFrame:
+    """``(conv_id, turn, depth, source)``: quotes with the latest earlier message that holds them whole, each
+    paragraph as a paragraph or by all its lines."""
+    one = ["conv_id", "turn", "depth", "key"]
+    keyed = loose.groupBy("conv_id", "turn", "depth", F.sha2("text", 256).alias("key")).agg(
+        F.count("*").alias("n"), F.first("text").alias("text")
+    )
+    folded = F.expr(_FOLDED.format("piece"))
+    paragraphs = keyed.select(
+        *one, "n", F.posexplode(F.expr("split(text, '\\n[ \\\\t]*\\n')")).alias("place", "piece")
+    ).where(folded != "")
+    lines = F.expr(
+        f"array_distinct(filter(transform(split(piece, '\\n'), piece -> {_FOLDED.format('piece')}), "
+        "piece -> piece <> ''))"
+    )
+    split = paragraphs.select(*one, "n", "place", folded.alias("paragraph"), lines.alias("lines"))
+    count = F.count("*").over(Window.partitionBy(*one)).alias("n_paragraphs")
+    split = split.select("*", F.size("lines").alias("n_lines"), count)
+    pieces = split.select(
+        *one, "n", "n_paragraphs", "n_lines", "place",
+        F.posexplode(F.concat(F.array("paragraph"), F.col("lines"))).alias("i", "piece"),
+    ).withColumn("hash", F.sha2("piece", 256))
+    held = sources.select("conv_id", F.col("turn").alias("source"), "hash").distinct()
+    pairs = pieces.join(held, ["conv_id", "hash"]).where("source < turn")
+    wholly = pairs.groupBy(*one, "n", "n_paragraphs", "n_lines", "place", "source").agg(
+        F.min("i").alias("least"), F.count_if(F.col("i") > 0).alias("n_held")
+    ).where("least = 0 or n_held = n_lines")
+    holders = wholly.groupBy(*one, "n", "n_paragraphs", "source").agg(F.count("*").alias("k"))
+    latest = holders.where("k = n_paragraphs").groupBy(*one, "n").agg(F.max("source").alias("source"))
+    # Runs alike, as in repeated rows, count one by one.
+    return latest.withColumn("copy", F.explode(F.expr("sequence(1, n)"))).select(
+        "conv_id", "turn", "depth", "source"
+    )
+
+
 def _threads(links: DataFrame) -> DataFrame:
     """Adds ``thread``, the turn at which a chain of answers began; doubling, so few rounds."""
     known = checkpointed(links.withColumn("thread", F.col("reply_to")))
@@ -106,7 +147,8 @@ def linked(messages: DataFrame) -> DataFrame:
     Sorted by ``thread`` and ``turn`` a conversation is in reply order: every answer stands after what it
     answers, within the thread that began with a message that answers none. ``reply_to`` is null where
     no quote is found again; such a message is a thread of its own. A quote is looked for in earlier
-    turns only. Null text counts as empty; a null conversation or turn links to nothing; of texts alike
+    turns only: as a whole line, paragraph or own text, else by its paragraphs and lines, all of which one
+    message must hold; part of a line is not found. Null text counts as empty; a null conversation or turn links to nothing; of texts alike
     the latest is the source; repeated rows stay and link alike; an empty table gives no rows; other
     columns are ignored.
     """
@@ -129,7 +171,7 @@ def conversations(messages: DataFrame) -> DataFrame:
 
 
 def linked_sql() -> str:
-    """The same in DuckDB, over ``conversations``."""
+    """The same in DuckDB, over ``conversations``, but for quotes found only by their pieces."""
     marks = "^(?:[ \\t]*>)+[ ]?"
     fold = "trim(regexp_replace(lower({0}), '[ \\t\\n\\x0B\\f\\r]+', ' ', 'g'))"
     return f"""

@@ -337,3 +337,23 @@ def test_quotes(spark):
     assert quotes.linked(said.where("false")).count() == 0
     chats = {r["conv_id"]: [m["turn"] for m in r["messages"]] for r in quotes.conversations(said).collect()}
     assert chats[1] == [0, 1, 2, 4, 3]
+
+
+def test_quotes_of_parts_of_a_message(spark):
+    long = "First one\nsecond line\nthird line\n\nA paragraph\nof two\n\nThe end\nof it\n\nBye"
+    rows = [
+        (1, 0, "u", long), (1, 1, "a", "The end\nof it"),
+        (1, 2, "u", "> A paragraph of\n> two\n>\n> the end\n> of it\nyes"),
+        (1, 3, "a", "> first one\n> Second line\nno"), (1, 4, "a", "> second line\n> else\nno"),
+        (1, 5, "a", "> second line\n>\n> Bye\nso\n> First one\n> third line\nthen\n> nowhere"),
+        (1, 6, "a", ">> First one\n>> third line\n> no\nwell"), (2, 0, "a", "> First one\n> third line"),
+        (1, 3, "a", "> first one\n> Second line\nno"), (1, 7, "u", long), (1, 8, "a", "> The end\n> of it\n> Bye"),
+    ]
+    said = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    found = quotes.linked(said).collect()
+    assert len(found) == len(rows)
+    at = {(r["conv_id"], r["turn"]): r for r in found}
+    assert [at[1, i]["reply_to"] for i in range(9)] == [None, None, 0, 0, None, 0, 4, None, 7]
+    assert [at[1, i]["n_linked"] for i in range(9)] == [0, 0, 1, 2, 0, 2, 2, 0, 1]
+    assert [at[1, i]["thread"] for i in (2, 3, 4, 5, 8)] == [0, 0, 4, 0, 7]
+    assert at[2, 0]["reply_to"] is None and at[1, 5]["n_quotes"] == 3
