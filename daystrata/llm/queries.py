@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daystrata.llm import bpe, convnet, fingerprints, licences, packing, paths, quotes, repeats, rules, toxicity
+from daystrata.llm import bpe, convnet, fingerprints, licences, packing, paths, pii, quotes, repeats, rules, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -68,6 +68,10 @@ def unrepeated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def personal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digests(pii.find(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Query] = {
     "op1_bpe": encoded,
     "op2_packing": packed,
@@ -79,10 +83,12 @@ QUERIES: dict[str, Query] = {
     "op8_quote_linking": answered,
     "op9_quality_classifier": quality,
     "op10_substring_dedup": unrepeated,
+    "op12_pii": personal,
 }
 
 SQL: dict[str, str] = {
     "op4_quality_rules": rules.judge_sql(),
     "op7_licence_scan": licences.scan_sql(f"select doc_id, {_PATH} as path, text from documents"),
     "op8_quote_linking": quotes.linked_sql(),
+    "op12_pii": pii.find_sql(),
 }
