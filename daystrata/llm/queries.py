@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daystrata.llm import bpe, convnet, fingerprints, licences, packing, paths, pii, quotes, repeats, rules, toxicity
+from daystrata.llm import bpe, convnet, fingerprints, licences, packing, paths, pii, prefixes, quotes, repeats, rules, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -72,6 +72,12 @@ def personal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(pii.find(table(spark, sf_dir, "documents")))
 
 
+def shared_beginnings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix tree of the conversations, each rebuilt upon the first of its hundred."""
+    said = prefixes.turn_paths(table(spark, sf_dir, "conversations"))
+    return prefixes.tree(prefixes.rebuilt(said))
+
+
 QUERIES: dict[str, Query] = {
     "op1_bpe": encoded,
     "op2_packing": packed,
@@ -84,6 +90,7 @@ QUERIES: dict[str, Query] = {
     "op9_quality_classifier": quality,
     "op10_substring_dedup": unrepeated,
     "op12_pii": personal,
+    "op13_prefix_trie": shared_beginnings,
 }
 
 SQL: dict[str, str] = {
@@ -91,4 +98,5 @@ SQL: dict[str, str] = {
     "op7_licence_scan": licences.scan_sql(f"select doc_id, {_PATH} as path, text from documents"),
     "op8_quote_linking": quotes.linked_sql(),
     "op12_pii": pii.find_sql(),
+    "op13_prefix_trie": prefixes.tree_sql(),
 }
