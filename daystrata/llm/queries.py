@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daystrata.llm import bpe, convnet, fingerprints, licences, packing, paths, pii, prefixes, quotes, repeats, rules, toxicity
+from daystrata.llm import (
+    alignment,
+    bpe,
+    convnet,
+    fingerprints,
+    licences,
+    packing,
+    paths,
+    pii,
+    prefixes,
+    quotes,
+    repeats,
+    rules,
+    toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -68,6 +82,11 @@ def unrepeated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def aligned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.digests(alignment.align(table(spark, sf_dir, "documents"), *files))
+
+
 def personal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(pii.find(table(spark, sf_dir, "documents")))
 
@@ -89,6 +108,7 @@ QUERIES: dict[str, Query] = {
     "op8_quote_linking": answered,
     "op9_quality_classifier": quality,
     "op10_substring_dedup": unrepeated,
+    "op11_alignment": aligned,
     "op12_pii": personal,
     "op13_prefix_trie": shared_beginnings,
 }
