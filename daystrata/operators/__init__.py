@@ -12,9 +12,11 @@ from daystrata.operators.quality import (
     cast_failures,
     check_not_empty,
     drop_null_key,
+    failed_casts,
     file_row_counts,
     hour_out_of_range,
     non_empty,
+    reconcile_content,
     reconcile_counts,
     row_count_report,
 )
@@ -35,6 +37,7 @@ __all__ = [
     "columns_of_type",
     "drop_and_rename",
     "drop_null_key",
+    "failed_casts",
     "file_row_counts",
     "fill_by_type",
     "first_max_record",
@@ -46,6 +49,7 @@ __all__ = [
     "max_per_day",
     "non_empty",
     "project",
+    "reconcile_content",
     "reconcile_counts",
     "reorder_last_first",
     "row_count_report",

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from daystrata.config import WEATHER, ObservationConfig
 from daystrata.functions import lenient_cast, normalise_hour, quoted
@@ -51,13 +52,25 @@ def fill_by_type(
     return df
 
 
-def clean(df: DataFrame, config: ObservationConfig = WEATHER, **fill) -> DataFrame:
+def clean(
+    df: DataFrame, config: ObservationConfig = WEATHER, beside: Mapping[str, Column] | None = None, **fill
+) -> DataFrame:
     """Normalises the hour, casts by the type lists and fills nulls.
 
+    ``beside`` adds columns worked out from the row as it was; they are neither cast nor filled.
+
     Filling comes before any maximum is taken, so when all real values are negative a filled 0 is
     the maximum; pass ``numeric_default=None`` to keep missing numbers null.
     """
+    extra = [column.alias(name) for name, column in (beside or {}).items()]
+    carried = "_beside"
+    if extra:
+        df = df.withColumn(carried, F.struct(*extra))
     if config.hour in df.columns:
         df = df.withColumn(config.hour, normalise_hour(config.hour))
     fill.setdefault("overrides", config.overrides)
-    return fill_by_type(cast_by_lists(df, config.types), **fill)
+    cleaned = fill_by_type(cast_by_lists(df, config.types), **fill)
+    if not extra:
+        return cleaned
+    rest = [quoted(name) for name in cleaned.columns if name != carried]
+    return cleaned.select(*rest, *[F.col(f"{carried}.{name}").alias(name) for name in beside])

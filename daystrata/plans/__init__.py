@@ -1,3 +1,4 @@
+from daystrata.plans.increments import Increment, land_increments
 from daystrata.plans.layers import LayerRun, land_to_raw, raw_to_clean, run
 
-__all__ = ["LayerRun", "land_to_raw", "raw_to_clean", "run"]
+__all__ = ["Increment", "LayerRun", "land_increments", "land_to_raw", "raw_to_clean", "run"]

@@ -453,9 +453,25 @@ _DAY_NAME = "'year=' || year(ts) || '/month=' || month(ts) || '/day=' || day(ts)
 
 @query(f"select {_DAY_NAME} as filename, count(*) as RowCount from events group by 1")
 def day_row_counts(spark, sf_dir):
-    return ops.file_row_counts(
-        spark, _raw_layer(spark, sf_dir), ".parquet", "parquet", name="day"
-    )
+    """Out of the layer's footers."""
+    return sources.day_counts(spark, _raw_layer(spark, sf_dir))
+
+
+def _clean_layer(spark, sf_dir) -> str:
+    root = scratch_dir(spark, "clean")
+    sinks.write_clean(obs_clean(spark, sf_dir), root)
+    return root
+
+
+@query(_SQL["global_max"])
+def layer_max(spark, sf_dir):
+    """The clean layer's maximum out of its footers."""
+    return sources.layer_max(spark, _clean_layer(spark, sf_dir), WEATHER.value)
+
+
+@query(_SQL["max_per_day"])
+def layer_max_per_day(spark, sf_dir):
+    return sources.layer_max_per_day(spark, _clean_layer(spark, sf_dir), WEATHER.value, WEATHER.day)
 
 
 @query(
@@ -500,6 +516,37 @@ def reconcile_counts(spark, sf_dir):
     )
 
 
+_DIGEST = (
+    "sum(('0x' || substr(md5({0}), 1, 15))::bigint)::varchar || '-' || "
+    "sum(('0x' || substr(md5({0}), 16, 15))::bigint)::varchar"
+)
+_ORDER_TEXT = " || ".join(
+    f"case when {name} is null then '-' else length({name}) || ':' || {name} end" for name in sorted(I.ORDER_COLUMNS)
+)
+_CORRUPTED = "o_orderkey = (select min(o_orderkey) from s where file_date = (select max(file_date) from s))"
+
+
+@query(
+    f"""with s as ({I.ORDER_ROWS_SQL}),
+      t as (select * replace (case when {_CORRUPTED} then o_orderstatus || '?' else o_orderstatus end
+        as o_orderstatus) from s),
+      a as (select file_date, count(*) as n, {_DIGEST.format(_ORDER_TEXT)} as d from s group by 1),
+      b as (select file_date, count(*) as n, {_DIGEST.format(_ORDER_TEXT)} as d from t group by 1)
+    select file_date, a.n as source_rows, b.n as target_rows, a.d as source_digest, b.d as target_digest,
+      a.d = b.d as same from a join b using (file_date)"""
+)
+def reconcile_content(spark, sf_dir):
+    """One value of one row is another in raw than in its landing file; all counts agree."""
+    landing = I.land_orders(spark, sf_dir)
+    rows = sources.with_file_date(sources.read_landing_csv(spark, landing, I.ORDER_COLUMNS), **I.LANDED)
+    last = rows.where(F.col("file_date") == rows.agg(F.max("file_date")).scalar())
+    changed = F.col("o_orderkey") == last.agg(F.min("o_orderkey")).scalar()
+    status = F.when(changed, F.concat("o_orderstatus", F.lit("?"))).otherwise(F.col("o_orderstatus"))
+    raw = scratch_dir(spark, "raw")
+    sinks.write_raw(rows.withColumn("o_orderstatus", status), raw)
+    return ops.reconcile_content(rows, sources.read_raw(spark, raw))
+
+
 @query(_SQL["hottest_record_all"])
 def layers_to_hottest(spark, sf_dir):
     """Landing files through raw and clean to the answer."""
@@ -596,6 +643,39 @@ def clean_schema_drift(spark, sf_dir):
     return sources.read_clean(spark, clean_root)
 
 
+@query(_SQL["clean_observations"])
+def landing_increments(spark, sf_dir):
+    """Two landings into one folder, a third of every month's rows late; a third call finds nothing new."""
+    rows = I.obs_raw(spark, sf_dir)
+    stamp = F.date_format(F.trunc(derive_date("ObservationDate"), "month"), "yyyyMMdd")
+    columns = ["event_id", *I.OBSERVED]
+    landed = rows.select(*columns).withColumn("stamp", stamp)
+    landing, raw, cleaned, record = (scratch_dir(spark, x) for x in ("landing", "raw", "clean", "record"))
+    for part in (F.expr(_EARLY), ~F.expr(_EARLY)):
+        I.land_csv(landed.where(part), landing, "stamp")
+        plans.land_increments(spark, landing, raw, cleaned, record, columns, **I.LANDED)
+    if plans.land_increments(spark, landing, raw, cleaned, record, columns, **I.LANDED):
+        raise RuntimeError("files were taken twice")
+    found = sources.read_clean(spark, cleaned)
+    return found.withColumn("event_id", lenient_cast("event_id", "bigint"))
+
+
+@query(
+    f"""{I.RAW_CTE} select case when event_id % 4 = 0 then 'none' end as day, event_id, Pressure, Region
+    from obs_raw where event_id % 4 = 0"""
+)
+def rejected_rows(spark, sf_dir):
+    """A quarter of the rows have a day that is none; the cleaning pass itself puts them aside, as they were."""
+    day = F.expr("case when event_id % 4 = 0 then 'none' else ObservationDate end")
+    raw = I.obs_raw(spark, sf_dir).withColumn("file_date", derive_date("ObservationDate"))
+    raw_root, clean_root = scratch_dir(spark, "raw"), scratch_dir(spark, "clean")
+    sinks.write_raw(raw.withColumn("ObservationDate", day), raw_root, gather_days=True)
+    plans.raw_to_clean(spark, raw_root, clean_root)
+    kept = "ObservationDate string, event_id bigint, Pressure string, Region string"
+    row = F.from_json("rejected_row", kept).alias("row")
+    return sources.read_rejects(spark, clean_root).select(row).select("row.*").withColumnRenamed("ObservationDate", "day")
+
+
 _MONTH = "strftime(date_trunc('month', ts), '%Y%m%d')"
 
 

@@ -6,14 +6,17 @@ from collections.abc import Sequence
 from datetime import date
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from daystrata.functions.text import quoted
-from daystrata.sources.days import DAY_PARTS, FILE_PART, NULL_PART
+from daystrata.sources.days import DAY_PARTS, FILE_PART, NULL_PART, REJECTED, REJECTED_ROW, from_files
 from daystrata.sources.files import checkpointed, list_files
 from daystrata.sources.schemas import keep_columns
 
+# For more file dates the whole layer is listed.
+_LISTED_CELLS = 400
+
 
 def write_by_day(
     df: DataFrame,
@@ -24,6 +27,10 @@ def write_by_day(
     file_date: str | None = None,
     file_dates: Sequence[date | None] | None = None,
     whole: bool = False,
+    told: Observation | None = None,
+    checks: Sequence[Column] = (),
+    rejects: Column | None = None,
+    hidden: Sequence[str] = (),
 ) -> Observation:
     """Replaces days below ``root/year=/month=/day=`` by what ``df`` holds.
 
@@ -34,29 +41,40 @@ def write_by_day(
     batch no longer holds is emptied: by file date, or, where there is no such level, by day. ``None``
     among them stands for the files without a date.
 
+    ``checks`` are further aggregates over the rows, for ``told`` in the same pass; ``hidden`` columns
+    serve them and are not written. With ``rejects``, the text of a row as it was, rows that ``drop_null_day``
+    leaves out are written by the same job, that text with them, to a cell of the layer that only
+    ``read_rejects`` shows.
+
     ``gather_days`` brings a day's rows together through ``REBALANCE``: a day below the session's
     ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` becomes one file, and adaptive execution
     splits a larger one over many tasks and files, so no day passes through a single task. Without
     it nothing is shuffled: right when each input split already holds one day.
 
     Returns counts, available now the write is done: ``seen_rows``, ``null_days`` and
-    ``written_rows``. They are taken in the last stage, whose tasks Spark counts once each, also
-    when a lost executor makes tasks run again.
+    ``written_rows``. They, and ``checks``, are taken in the last stage, whose
+    tasks Spark counts once each, also when a lost executor makes tasks run again.
     """
     spark = df.sparkSession
-    taken = {name.lower() for name in df.columns} & {*DAY_PARTS, FILE_PART}
+    taken = {name.lower() for name in df.columns} & {*DAY_PARTS, FILE_PART, REJECTED_ROW}
     if taken:
         raise ValueError(f"partition columns are already there: {sorted(taken)}")
     if gather_days and spark.conf.get("spark.sql.adaptive.enabled") != "true":
         raise ValueError("gather_days needs spark.sql.adaptive.enabled")
     day = quoted(date_col)
-    parts = [f(day).alias(name) for f, name in zip((F.year, F.month, F.dayofmonth), DAY_PARTS)]
-    kept = [quoted(name) for name in df.columns if name != file_date]
+    parts = [f(day) for f in (F.year, F.month, F.dayofmonth)]
+    rejecting = drop_null_day and rejects is not None
+    if rejecting:
+        parts = [F.coalesce(part, F.lit(REJECTED)) for part in parts]
+    parts = [part.alias(name) for part, name in zip(parts, DAY_PARTS)]
+    kept = [quoted(name) for name in df.columns if name != file_date and name not in hidden]
+    if rejecting:
+        parts.append(F.when(day.isNull(), rejects).alias(REJECTED_ROW))
     levels = list(DAY_PARTS)
     if file_date is not None:
         parts.append(quoted(file_date).alias(FILE_PART))
         levels.append(FILE_PART)
-    rows = df.select(*kept, *parts)
+    rows = df.select(*kept, *parts, *map(quoted, hidden))
     keep_columns(df.select(*kept), root)
     if gather_days:
         rows = rows.hint("rebalance", *levels)
@@ -70,7 +88,10 @@ def write_by_day(
         null_days.alias("null_days"),
         written.alias("written_rows"),
     )
-    if drop_null_day:
+    if told is not None:
+        rows = rows.observe(told, *checks)
+    rows = rows.drop(*hidden)
+    if drop_null_day and not rejecting:
         rows = rows.where(day.isNotNull())
     old = _files(spark, root, file_dates, file_date) if whole or file_dates is not None else None
     (
@@ -80,43 +101,77 @@ def write_by_day(
         .parquet(root)
     )
     if old is not None:
-        _empty(rows.select(*kept), root, old, _files(spark, root, file_dates, file_date))
+        _empty(df.select(*kept), old, _files(spark, root, file_dates, file_date))
     return counts
 
 
 def _files(
     spark: SparkSession, root: str, file_dates: Sequence[date | None] | None, file_date: str | None
 ) -> DataFrame:
-    """Paths of the layer's data files, those of some file dates only."""
+    """Paths of the layer's data files, those of some file dates only; others' directories are not listed."""
+    place = root
+    if file_dates is not None and not set(root) & set("{}[]*?\\") and len(file_dates) <= _LISTED_CELLS:
+        if file_date is None:
+            cells = [
+                "/".join(f"{name}={part}" for name, part in zip(DAY_PARTS, (day.year, day.month, day.day) if day else [NULL_PART] * 3))
+                for day in file_dates
+            ]
+            place = f"{root}/{{{','.join(cells)}}}"
+        else:
+            any_day = "/".join(f"{name}=*" for name in DAY_PARTS)
+            place = f"{root}/{any_day}/{FILE_PART}={{{','.join(str(day or NULL_PART) for day in file_dates)}}}"
+    nothing = spark.createDataFrame([], "file_path string")
+    if file_dates is not None and not file_dates:
+        return nothing
     try:
-        found = checkpointed(list_files(spark, root, "*.parquet").select("file_path"))
+        found = checkpointed(list_files(spark, place, "*.parquet").select("file_path"))
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], "file_path string")
+        return nothing
     if file_dates is None:
         return found
     if file_date is not None:
         dated = F.regexp_extract("file_path", rf"/{FILE_PART}=([0-9-]+)/", 1).try_cast("date")
+        undated = F.contains("file_path", F.lit(f"/{FILE_PART}={NULL_PART}/"))
     else:
         numbers = [F.regexp_extract("file_path", rf"/{name}=([0-9]+)/", 1) for name in DAY_PARTS]
         dated = F.concat_ws("-", *numbers).try_cast("date")
-    known = [day for day in file_dates if day is not None]
-    wanted = dated.isin(known) if known else F.lit(False)
-    if len(known) < len(file_dates):
-        level = FILE_PART if file_date is not None else DAY_PARTS[0]
-        wanted = F.coalesce(wanted, F.lit(False)) | F.contains("file_path", F.lit(f"/{level}={NULL_PART}/"))
-    return found.where(wanted)
+        undated = F.contains("file_path", F.lit(f"/{DAY_PARTS[0]}={NULL_PART}/"))
+    return found.where(from_files(dated, [day for day in file_dates if day]) | (F.lit(None in file_dates) & undated))
+
 
+def _empty(rows: DataFrame, old: DataFrame, new: DataFrame) -> None:
+    """Takes away the files that outlived the write; usually there are none.
+
+    One job, each task removing its share. A file that is gone already counts as removed, so a task may
+    run again. Where a store opens to Spark's writers alone, cells are overwritten with nothing, one by one.
+    """
 
-def _empty(rows: DataFrame, root: str, old: DataFrame, new: DataFrame) -> None:
-    """Overwrites with nothing the cells whose files outlived the write; usually there are none."""
-    left = new.join(old, "file_path", "left_semi")
+    def removed(batches):
+        import pyarrow as pa
+        from pyarrow import fs
+
+        for batch in batches:
+            left = []
+            for path in batch.column(0).to_pylist():
+                try:
+                    store, inner = fs.FileSystem.from_uri(path)
+                    if store.get_file_info(inner).type != fs.FileType.NotFound:
+                        store.delete_file(inner)
+                except FileNotFoundError:
+                    pass
+                except (OSError, ValueError, NotImplementedError):
+                    left.append(path)
+            yield pa.RecordBatch.from_pydict({"file_path": pa.array(left, pa.string())})
+
+    spark = rows.sparkSession
+    outlived = new.join(old, "file_path", "left_semi")
+    left = outlived.mapInArrow(removed, "file_path string")
     cells = left.select(F.regexp_extract("file_path", "^(.*)/[^/]*$", 1).alias("cell")).distinct()
-    nothing = rows.limit(0)
     for cell in cells.toLocalIterator():
-        spark = rows.sparkSession
-        spark.createDataFrame([], nothing.schema).coalesce(1).write.mode("overwrite").parquet(cell["cell"])
+        nothing = spark.createDataFrame([], rows.schema).coalesce(1)
+        nothing.write.mode("overwrite").parquet(cell["cell"])
 
 
 def write_raw(
@@ -140,8 +195,9 @@ def write_clean(
     file_date: str | None = None,
     file_dates: Sequence[date] | None = None,
     whole: bool = False,
+    **options,
 ) -> Observation:
     """Clean layer by observation day; rows without a day are left out and counted."""
     return write_by_day(
-        df, root, date_col, drop_null_day, file_date=file_date, file_dates=file_dates, whole=whole
+        df, root, date_col, drop_null_day, file_date=file_date, file_dates=file_dates, whole=whole, **options
     )

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from datetime import date
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daystrata.sources.schemas import known_columns
@@ -15,6 +15,11 @@ from daystrata.sources.schemas import known_columns
 DAY_PARTS = ("year", "month", "day")
 FILE_PART = "from_file_date"
 NULL_PART = "__HIVE_DEFAULT_PARTITION__"
+# The day of a partition; null for the cell of rejected rows, as for rows without a day.
+DAY = "make_date(year, nullif(month, 0), nullif(day, 0))"
+# Rows that a layer keeps but does not show lie in a cell that is no day, as text in this column.
+REJECTED = 0
+REJECTED_ROW = "rejected_row"
 
 # Longer ranges are cheaper to list as a whole. The columns do not depend on it.
 _LISTED_MONTHS = 120
@@ -26,9 +31,11 @@ def read_days(
     start: date | str | None = None,
     end: date | str | None = None,
     days: Sequence[date | None] | None = None,
+    file_dates: Sequence[date | None] | None = None,
 ) -> DataFrame:
     """Rows of the days from ``start`` to ``end``, both included, or of ``days``; other directories
     are not read. ``None`` among ``days`` stands for the rows without a day; other bounds leave them out.
+    ``file_dates`` keeps, in a layer that tells them apart, what came from files of these dates.
 
     With both bounds only the months between them are listed, so the cost of planning does not grow
     with the layer. Without bounds all rows come back, those without a day too. The columns are all
@@ -37,14 +44,21 @@ def read_days(
     first = date.fromisoformat(str(start)) if start is not None else None
     last = date.fromisoformat(str(end)) if end is not None else None
     known = None if days is None else [day for day in days if day is not None]
-    directory_day = F.make_date(*DAY_PARTS)
+    directory_day = F.expr(DAY)
+    if file_dates is not None:
+        df = _shown(_scan(spark, root, first, last)).where(from_files(F.col(FILE_PART).cast("date"), file_dates))
+        df = df.where(directory_day >= F.lit(first)) if first is not None else df
+        df = df.where(directory_day <= F.lit(last)) if last is not None else df
+        return df.drop(*DAY_PARTS, FILE_PART)
     if days is not None and len(known) < len(days) and first is None and last is None:
         df = _scan(spark, root, min(known, default=None), max(known, default=None), undated=True)
         wanted = directory_day.isNull() | directory_day.isin(known)
-        return df.where(wanted).drop(*DAY_PARTS, FILE_PART)
+        return _shown(df).where(wanted).drop(*DAY_PARTS, FILE_PART)
     if known:
         first, last = first or min(known), last or max(known)
     df = _scan(spark, root, first, last)
+    if first is None and last is None and days is None:
+        df = _shown(df)
     if first is not None:
         df = df.where(directory_day >= F.lit(first))
     if last is not None:
@@ -54,6 +68,25 @@ def read_days(
     return df.drop(*DAY_PARTS, FILE_PART)
 
 
+def from_files(file_date: Column, dates: Sequence[date | None]) -> Column:
+    """Whether a file date is one of ``dates``, ``None`` among them standing for no date."""
+    known = [day for day in dates if day is not None]
+    wanted = F.coalesce(file_date.isin(known), F.lit(False)) if known else F.lit(False)
+    return wanted | file_date.isNull() if len(known) < len(dates) else wanted
+
+
+def read_rejects(spark: SparkSession, root: str) -> DataFrame:
+    """``(from_file_date, rejected_row)``: rows left out of a layer, as JSON of what they were before."""
+    schema = f"{REJECTED_ROW} string, {FILE_PART} date"
+    cell = "/".join(f"{name}={REJECTED}" for name in DAY_PARTS)
+    try:
+        return spark.read.schema(schema).parquet(f"{root}/{cell}").select(FILE_PART, REJECTED_ROW)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], f"{FILE_PART} date, {REJECTED_ROW} string")
+
+
 def _scan(
     spark: SparkSession, root: str, first: date | None, last: date | None, undated: bool = False
 ) -> DataFrame:
@@ -77,6 +110,11 @@ def _scan(
     return reader.parquet(root)
 
 
+def _shown(layer: DataFrame) -> DataFrame:
+    """Without the cell of rejected rows, whose day is none; a bound on the day does the same."""
+    return layer.where(F.coalesce(F.col(DAY_PARTS[1]), F.lit(-1)) != REJECTED)
+
+
 def _months(first: date, last: date) -> list[str]:
     numbers = range(first.year * 12 + first.month - 1, last.year * 12 + last.month)
     return [f"year={n // 12}/month={n % 12 + 1}" for n in numbers]
