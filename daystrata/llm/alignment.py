@@ -1,51 +1,53 @@
 """Alignment of two tokenizers' tokens: which tokens of one stand for which of the other.
 
 Both tokenizers cut a text between any character and a space or line end behind it, so a text falls
-into units that can be aligned alone, each kind of unit once for the whole corpus. A unit's tokens are
-aligned by divide and conquer: a byte offset near the middle where tokens of both end is found by
-bisection and both sides are split in turn; what holds no such offset is one group.
+into units that can be aligned alone, each different one once in a block of neighbouring texts. A unit's
+tokens are aligned by divide and conquer: a byte offset near the middle where tokens of both end is
+found by bisection and both sides are split in turn; what holds no such offset is one group.
 
-Work goes by blocks of neighbouring texts. A block names its different units with their counts; these
-are summed over the corpus, aligned, and weighed by how often their tokens are linked anywhere; then each block
-gets back the few facts of its units and adds them up text by text.
+A block is aligned in one task. It leaves its texts as numbers of units, its units as numbers of id pairs,
+and its different pairs with their counts. Only the pairs are summed over the corpus; each block then gets
+back the counts of its own, however often they stand in it.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 from bisect import bisect_left
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daystrata.llm.words import in_batches, shipped
-from daystrata.sources.files import checkpointed, scratch_dir
+from daystrata.sources.files import scratch_dir
 
 #: Bytes of text after which a block ends; a longer text is a block of its own.
 BLOCK_BYTES = 4 << 20
-#: Id pairs in at least one of so many links of distinct units are joined apart; there are at most as many.
-HOT_SHARE = 200
+_AT_ONCE = 5_000
 
 # A token of the second vocabulary in the low half of a link, one of the first in the high half.
 _HALF = 32
 _SLOW = re.compile(r"\s\s|[^\S \n]|\x00")
 _CUT = re.compile(r"(?<=\S)(?=[ \n])")
 _SPACE = "▁"
-_BLOCKS = "kind int, block bigint, doc_id bigint, packed binary, unit string, n bigint"
-_BLOCKS_ARROW = pa.schema([
-    ("kind", pa.int32()), ("block", pa.int64()), ("doc_id", pa.int64()), ("packed", pa.binary()),
-    ("unit", pa.string()), ("n", pa.int64()),
-])
-_UNITS = "unit string, n bigint, told string, n_a bigint, n_b bigint, n_groups bigint, links array<bigint>"
-_UNITS_ARROW = pa.schema([
-    ("unit", pa.string()), ("n", pa.int64()), ("told", pa.string()), ("n_a", pa.int64()), ("n_b", pa.int64()),
-    ("n_groups", pa.int64()), ("links", pa.list_(pa.int64())),
-])
-_FACTS = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
-_RESULT = "doc_id bigint, " + ", ".join(f"{name} bigint" for name in _FACTS) + ", groups string"
+_TOTALS = ("n_a", "n_b", "n_groups", "n_links")
+_SUMS = (*_TOTALS, "n_best", "count_sum")
+# What a block leaves: texts (0), its units and pairs as arrays (1), and pairs with counts (2).
+_LEFT = (
+    "kind int, block bigint, doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, "
+    "groups string, units binary, sizes binary, links binary, pairs binary, pair bigint, n bigint"
+)
+_LEFT_ARROW = pa.schema(
+    [
+        (name, {"int": pa.int32(), "bigint": pa.int64(), "string": pa.string(), "binary": pa.binary()}[kind])
+        for name, kind in (part.split(" ") for part in _LEFT.split(", "))
+    ]
+)
+_RESULT = "doc_id bigint, " + ", ".join(f"{name} bigint" for name in _SUMS) + ", groups string"
 
 
 def units_of(text: str) -> list[str]:
@@ -120,21 +122,20 @@ class Pair:
         return one, two
 
     def aligned(self, unit: str, one: list[int], two: list[int]) -> tuple:
-        """``(groups as text, tokens, tokens, groups, links)`` of a unit."""
+        """``(groups as text, links)`` of a unit."""
         spelled_a = [self.bytes_a[i] for i in one]
         spelled_b = [self.bytes_b[i] for i in two]
         if not b"".join(spelled_a) == b"".join(spelled_b) == unit.encode():
             raise ValueError(f"tokens of {unit[:40]!r} do not spell it")
         a, b = _ends(spelled_a), _ends(spelled_b)
         told, links = [], []
-        found = groups_of(a, b)
-        for low_a, high_a, low_b, high_b in found:
+        for low_a, high_a, low_b, high_b in groups_of(a, b):
             told.append(f"{','.join(map(str, one[low_a:high_a]))}|{','.join(map(str, two[low_b:high_b]))}")
             i, j = low_a, low_b
             while i < high_a and j < high_b:
                 links.append(one[i] << _HALF | two[j])
                 i, j = i + (a[i] <= b[j]), j + (b[j] <= a[i])
-        return ";".join(told), len(one), len(two), len(found), links
+        return ";".join(told), links
 
 
 def _ends(tokens: list[bytes]) -> list[int]:
@@ -167,132 +168,149 @@ def _spelled(text: str | None) -> bool:
     return bool(text) and _SPACE not in text
 
 
-def _into_blocks(size: int):
-    def run(batches):
+class _Block:
+    """Neighbouring texts, aligned together."""
+
+    def __init__(self, number: int):
+        self.number = number
+        self.doc_ids: list[int | None] = []
+        self.texts: list[list[str]] = []
+        self.bytes = 0
+
+    def add(self, doc_id: int | None, text: str | None) -> None:
+        self.doc_ids.append(doc_id)
+        self.texts.append(units_of(text) if _spelled(text) else [])
+        self.bytes += len(text or "")
+
+    def rows(self, pair: Pair, hashed: bool):
         import zstandard
-        from pyspark import TaskContext
 
         squeeze = zstandard.ZstdCompressor(level=1).compress
+        place: dict[str, int] = {}
+        texts = [
+            np.fromiter((place.setdefault(unit, len(place)) for unit in units), np.uint32, len(units))
+            for units in self.texts
+        ]
+        self.texts = []
+        told, links = [], []
+        totals = np.zeros((len(place), len(_TOTALS)), np.int64)
+        names = list(place)
+        for at in range(0, len(names), _AT_ONCE):
+            some = names[at : at + _AT_ONCE]
+            for unit, one, two in zip(some, *pair.ids(some)):
+                groups, mine = pair.aligned(unit, one, two)
+                totals[len(told)] = len(one), len(two), groups.count(";") + 1, len(mine)
+                told.append(groups)
+                links.append(np.array(mine, np.int64))
+        times = np.zeros(len(names), np.int64)
+        for doc_id, units in zip(self.doc_ids, texts):
+            np.add.at(times, units, 1)
+            groups = ";".join([told[i] for i in units.tolist()])
+            if hashed and groups:
+                groups = hashlib.sha256(groups.encode()).hexdigest()
+            sums = dict(zip(_TOTALS, totals[units].sum(0).tolist()))
+            yield {"kind": 0, "doc_id": doc_id, **sums, "groups": groups, "units": squeeze(units.tobytes())}
+        if not names:
+            return
+        pairs, which = np.unique(np.concatenate(links), return_inverse=True)
+        sizes = totals[:, 3].astype(np.uint32)
+        count = np.bincount(which, np.repeat(times, sizes), len(pairs)).astype(np.int64)
+        arrays = {"sizes": sizes, "links": which.astype(np.uint32), "pairs": pairs}
+        yield {"kind": 1, **{name: squeeze(array.tobytes()) for name, array in arrays.items()}}
+        for code, n in zip(pairs.tolist(), count.tolist()):
+            yield {"kind": 2, "pair": code, "n": n}
+
+
+def _blocks(size: int, hashed: bool, *paths: str):
+    def run(batches):
+        from pyspark import TaskContext
+
         # Written before it is read again, so a task that runs twice may number its blocks anew.
-        block = TaskContext.get().partitionId() << 32
+        block = _Block(TaskContext.get().partitionId() << 32)
+        pair = _pair(*paths)
 
         def rows():
             nonlocal block
-            units, held = Counter(), 0
             for batch in batches:
                 for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                    text = text.as_py()
-                    yield 0, block, doc_id, squeeze((text or "").encode()), None, None
-                    if _spelled(text):
-                        units.update(units_of(text))
-                        held += len(text)
-                    if held >= size:
-                        yield from ((1, block, None, None, unit, n) for unit, n in units.items())
-                        units, held = Counter(), 0
-                        block += 1
-            yield from ((1, block, None, None, unit, n) for unit, n in units.items())
-
-        yield from in_batches(rows(), _BLOCKS_ARROW)
-
-    return run
+                    block.add(doc_id, text.as_py())
+                    if block.bytes >= size:
+                        yield from done(block)
+                        block = _Block(block.number + 1)
+            yield from done(block)
 
+        def done(block):
+            for row in block.rows(pair, hashed):
+                yield tuple({"block": block.number, **row}.get(name) for name in _LEFT_ARROW.names)
 
-def _aligner(*paths: str):
-    def run(batches):
-        pair = _pair(*paths)
-
-        def rows():
-            for batch in batches:
-                for at in range(0, batch.num_rows, 2000):
-                    part = batch.slice(at, 2000)
-                    units = part.column(0).to_pylist()
-                    for unit, n, one, two in zip(units, part.column(1).to_pylist(), *pair.ids(units)):
-                        yield unit, n, *pair.aligned(unit, one, two)
-
-        yield from in_batches(rows(), _UNITS_ARROW)
+        yield from in_batches(rows(), _LEFT_ARROW)
 
     return run
 
 
-def _summed(texts: pa.Table, facts: pa.Table) -> pa.Table:
-    """A block's texts, each with the sums of its units' facts and their groups in order."""
+def _summed(left: pa.Table, counts: pa.Table) -> pa.Table:
+    """A block's texts with the counts of their links: pairs' counts summed by unit, then by text."""
     import zstandard
 
     restore = zstandard.ZstdDecompressor().decompress
-    units = facts.column("unit").to_pylist()
-    place = dict(zip(units, range(len(units))))
-    told = facts.column("told").to_pylist()
-    numbers = np.zeros((len(units) + 1, len(_FACTS)), np.int64)
-    for i, name in enumerate(_FACTS):
-        numbers[: len(units), i] = facts.column(name).to_numpy()
-    sums, groups = [], []
-    for packed in texts.column("packed").to_pylist():
-        text = restore(packed).decode()
-        at = [place[unit] for unit in units_of(text)] if _spelled(text) else []
-        sums.append(numbers[at].sum(0) if at else numbers[-1])
-        groups.append(";".join([told[i] for i in at]))
-    columns = np.array(sums, np.int64).reshape(-1, len(_FACTS))
-    arrays = [texts.column("doc_id").combine_chunks()]
-    arrays += [pa.array(columns[:, i]) for i in range(len(_FACTS))]
-    return pa.table([*arrays, pa.array(groups, pa.string())], names=["doc_id", *_FACTS, "groups"])
-
-
-def align(docs: DataFrame, bytes_path: str, pieces_path: str, block: int = BLOCK_BYTES) -> DataFrame:
+    texts = left.filter(pa.compute.equal(left.column("kind"), 0))
+    sums = np.zeros((texts.num_rows, 2), np.int64)
+    for row in left.filter(pa.compute.equal(left.column("kind"), 1)).to_pylist():
+        pairs = np.frombuffer(restore(row["pairs"]), np.int64)
+        weights = np.zeros((len(pairs), 2), np.int64)
+        at = np.searchsorted(pairs, counts.column("pair").to_numpy())
+        for i, name in enumerate(("best", "count")):
+            weights[at, i] = counts.column(name).to_numpy()
+        sizes = np.frombuffer(restore(row["sizes"]), np.uint32)
+        running = np.zeros((int(sizes.sum()) + 1, 2), np.int64)
+        np.cumsum(weights[np.frombuffer(restore(row["links"]), np.uint32)], 0, out=running[1:])
+        ends = np.cumsum(sizes)
+        by_unit = running[ends] - running[ends - sizes]
+        for i, units in enumerate(texts.column("units").to_pylist()):
+            sums[i] = by_unit[np.frombuffer(restore(units), np.uint32)].sum(0)
+    arrays = [texts.column(name) for name in ("doc_id", *_TOTALS)]
+    arrays += [pa.array(sums[:, 0]), pa.array(sums[:, 1]), texts.column("groups")]
+    return pa.table(arrays, names=["doc_id", *_SUMS, "groups"])
+
+
+def align(
+    docs: DataFrame, bytes_path: str, pieces_path: str, block: int = BLOCK_BYTES, hashed: bool = False
+) -> DataFrame:
     """``(doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups)`` for every row.
 
     The text behind a space, as tokens of a byte-level vocabulary (a) and of a piece model (b).
-    ``groups`` is ``a1,a2|b1;a3|b2,b3``: ids between offsets where tokens of both end. Links are pairs of
-    tokens that share bytes. ``count_sum`` adds up how often each link's pair of ids is linked in the
-    whole corpus, ``n_best`` counts links whose pair is the commonest of its b id, ties included.
+    ``groups`` is ``a1,a2|b1;a3|b2,b3``: ids between offsets where tokens of both end; with ``hashed``
+    its SHA-256 instead, so that the ids of all texts need not be written. Links are pairs of tokens that
+    share bytes. ``count_sum`` adds up how often each link's pair of ids is linked in the whole corpus,
+    ``n_best`` counts links whose pair is the commonest of its b id, ties included.
 
     Null and empty texts, and texts that hold U+2581, which the piece model writes for a space, have no
     tokens: zeros and an empty ``groups``. Null ids and repeated rows stay, each a row of its own; an
     empty table gives no rows; other columns are ignored, whatever their names. A very long text is
-    a block of its own, whose different units and whose text one task holds. A piece model that rewrites texts
-    otherwise, or joins over spaces, is an error.
+    a block of its own, which one task holds. A piece model that rewrites texts otherwise, or joins over
+    spaces, is an error.
     """
     spark = docs.sparkSession
     place = scratch_dir(spark, "alignment")
     chosen = shipped(docs).select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")
     )
-    chosen.mapInArrow(_into_blocks(block), _BLOCKS).write.partitionBy("kind").parquet(f"{place}/blocks")
-    blocks = spark.read.schema(_BLOCKS)
-    named = blocks.parquet(f"{place}/blocks").where("kind = 1")
-    kinds = named.groupBy("unit").agg(F.sum("n").alias("n"))
-    kinds.mapInArrow(_aligner(bytes_path, pieces_path), _UNITS).write.parquet(f"{place}/units")
-    units = spark.read.schema(_UNITS).parquet(f"{place}/units")
-    facts = units.select(
-        "unit", "told", "n_a", "n_b", "n_groups", F.size("links").cast("bigint").alias("n_links")
-    ).join(_weighed(units), "unit")
-    asked = named.select("block", "unit").join(facts, "unit")
-    texts = blocks.parquet(f"{place}/blocks").where("kind = 0").select("block", "doc_id", "packed")
-    both = texts.groupBy("block").cogroup(asked.groupBy("block"))
-    return both.applyInArrow(_summed, _RESULT)
-
-
-def _weighed(units: DataFrame) -> DataFrame:
-    """``(unit, n_best, count_sum)``: how common the links of each unit are in the corpus."""
-    links = units.select("unit", "n", F.explode("links").alias("link"))
-    second = F.expr(f"link & {(1 << _HALF) - 1}")
-    counted = checkpointed(links.groupBy("link").agg(F.sum("n").alias("count"), F.count("*").alias("rows")))
+    cut = _blocks(block, hashed, bytes_path, pieces_path)
+    chosen.mapInArrow(cut, _LEFT).write.partitionBy("kind").parquet(place)
+    left = spark.read.schema(_LEFT)
+    named = left.parquet(place).where("kind = 2").select("block", "pair", "n")
+    counted = named.groupBy("pair").agg(F.sum("n").alias("count"))
+    second = F.expr(f"pair & {(1 << _HALF) - 1}")
     most = counted.groupBy(second.alias("b")).agg(F.max("count").alias("most"))
     weights = counted.withColumn("b", second).join(most, "b").select(
-        "link", "count", "rows", (F.col("count") == F.col("most")).cast("bigint").alias("best")
+        "pair", "count", (F.col("count") == F.col("most")).cast("bigint").alias("best")
     )
-    # A pair of ids may stand in a large share of all units, as a line end does. At most HOT_SHARE
-    # pairs can; these few are broadcast, and no task gets more than such a share of the others' rows.
-    total = counted.agg(F.sum("rows")).first()[0] or 0
-    hot = F.broadcast(weights.where(F.col("rows") * HOT_SHARE >= total).drop("rows"))
-    cold = weights.where(F.col("rows") * HOT_SHARE < total).drop("rows")
-    near = links.join(hot, "link", "left")
-    rest = near.where("count is null").select("unit", "link").join(cold, "link")
-    every = near.where("count is not null").select("unit", "best", "count")
-    every = every.unionAll(rest.select("unit", "best", "count"))
-    return every.groupBy("unit").agg(F.sum("best").alias("n_best"), F.sum("count").alias("count_sum"))
+    # A pair stands at most once in a block, so the commonest is as rare here as blocks are.
+    asked = named.select("block", "pair").join(weights, "pair")
+    texts = left.parquet(place).where("kind < 2").drop("pair", "n")
+    return texts.groupBy("block").cogroup(asked.groupBy("block")).applyInArrow(_summed, _RESULT)
 
 
 def digests(aligned: DataFrame) -> DataFrame:
-    """``align`` with the groups' hash for their text; empty where there are no tokens."""
-    hashed = F.when(F.col("groups") == "", F.lit("")).otherwise(F.sha2("groups", 256))
-    return aligned.select("doc_id", *_FACTS, hashed.alias("groups_sha256"))
+    """``align(hashed=True)`` with the hash under its name; empty where there are no tokens."""
+    return aligned.withColumnRenamed("groups", "groups_sha256")

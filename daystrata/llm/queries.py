@@ -84,7 +84,7 @@ def unrepeated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def aligned(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model"))
-    return alignment.digests(alignment.align(table(spark, sf_dir, "documents"), *files))
+    return alignment.digests(alignment.align(table(spark, sf_dir, "documents"), *files, hashed=True))
 
 
 def personal(spark: SparkSession, sf_dir: str) -> DataFrame:

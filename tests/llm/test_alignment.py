@@ -95,14 +95,18 @@ def odd(spark):
     return spark.createDataFrame(rows, "doc_id bigint, text string, block int, unit string, packed binary")
 
 
-@pytest.mark.parametrize("block,share", [(alignment.BLOCK_BYTES, alignment.HOT_SHARE), (300, 3)])
-def test_equals_the_libraries(spark, odd, monkeypatch, block, share):
-    monkeypatch.setattr(alignment, "HOT_SHARE", share)
+@pytest.mark.parametrize("block", [alignment.BLOCK_BYTES, 300])
+def test_equals_the_libraries(spark, odd, block):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     for frame in (docs, odd):
         want = by_library([(r["doc_id"], r["text"]) for r in frame.collect()])
-        found = alignment.digests(alignment.align(frame, BYTES, PIECES, block))
+        found = alignment.digests(alignment.align(frame, BYTES, PIECES, block, hashed=True))
         assert collections.Counter(map(tuple, found.collect())) == want
+        spelled = alignment.align(frame, BYTES, PIECES, block).collect()
+        again = collections.Counter(
+            (*r[:-1], hashlib.sha256(r["groups"].encode()).hexdigest() if r["groups"] else "") for r in spelled
+        )
+        assert again == want
     assert alignment.align(odd.where("false"), BYTES, PIECES).count() == 0
 
 
