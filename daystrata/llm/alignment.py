@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from bisect import bisect_left
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +27,10 @@ from daystrata.sources.files import scratch_dir
 
 #: Bytes of text after which a block ends; a longer text is a block of its own.
 BLOCK_BYTES = 4 << 20
+#: Units that are encoded and aligned together.
 _AT_ONCE = 5_000
+#: Tokens on each side of the middle that are tried before all of an interval are looked at.
+_NEAR = 32
 
 # A token of the second vocabulary in the low half of a link, one of the first in the high half.
 _HALF = 32
@@ -57,28 +60,38 @@ def units_of(text: str) -> list[str]:
     return ("\0 " + text.replace(" ", "\0 ").replace("\n", "\0\n")).split("\0")[1:]
 
 
-def groups_of(a: list[int], b: list[int]) -> list[tuple[int, int, int, int]]:
-    """Groups as ranges of tokens ``(from_a, to_a, from_b, to_b)``, given the offsets where tokens end.
+def shared_ends(a: np.ndarray, b: np.ndarray, after: np.ndarray) -> np.ndarray:
+    """Which tokens of the first end where one of the second ends, given the offsets where tokens end.
 
-    Both lists rise and end with the same offset. Divide and conquer: the shared end nearest the middle
-    splits an interval, and an interval without one is a group.
+    ``after`` cuts the first's tokens into intervals, whose last ends are shared. Divide and conquer, all
+    intervals of a level at once: the shared end nearest an interval's middle, found by bisection of the
+    other's ends, splits it, and an interval without one is left as it is.
     """
-    out, todo = [], [(0, len(a), 0, len(b))]
-    while todo:
-        low_a, high_a, low_b, high_b = todo.pop()
-        middle = (low_a + high_a - 1) // 2
-        for away in range(high_a - low_a):
-            k = middle + (away + 1) // 2 * (1 if away % 2 else -1)
-            if not low_a <= k < high_a - 1:
-                continue
-            j = bisect_left(b, a[k], low_b, high_b - 1)
-            if j < high_b - 1 and b[j] == a[k]:
-                todo.append((k + 1, high_a, j + 1, high_b))
-                todo.append((low_a, k + 1, low_b, j + 1))
-                break
-        else:
-            out.append((low_a, high_a, low_b, high_b))
-    return out
+    found = [after - 1]
+    low, high = np.concatenate([[0], after[:-1]]), after
+    while len(low):
+        wide = high - low > 1
+        low, high = low[wide], high[wide]
+        middle, cut = (low + high - 2) // 2, np.full(len(low), -1)
+        todo, away = np.arange(len(low)), 0
+        while len(todo) and away < 2 * _NEAR:
+            k = middle[todo] + (away + 1) // 2 * (1 if away % 2 else -1)
+            inside = (k >= low[todo]) & (k < high[todo] - 1)
+            k = np.where(inside, k, low[todo])
+            hit = inside & (b[np.searchsorted(b, a[k])] == a[k])
+            cut[todo[hit]] = k[hit]
+            away += 1
+            reach = (away + 1) // 2
+            todo = todo[~hit & ((middle[todo] + reach < high[todo] - 1) | (middle[todo] - reach >= low[todo]))]
+        for t in todo.tolist():
+            span = np.arange(low[t], high[t] - 1)
+            span = span[b[np.searchsorted(b, a[span])] == a[span]]
+            if len(span):
+                cut[t] = span[np.abs(span - middle[t]).argmin()]
+        split = cut >= 0
+        found.append(cut[split])
+        low, high = np.concatenate([low[split], cut[split] + 1]), np.concatenate([cut[split] + 1, high[split]])
+    return np.sort(np.concatenate(found))
 
 
 class Pair:
@@ -106,6 +119,12 @@ class Pair:
             bytes([int(piece[3:5], 16)]) if self.second.is_byte(i) else piece.replace(_SPACE, " ").encode()
             for i, piece in enumerate(pieces)
         ]
+        self.lengths_a = np.zeros(self.first.get_vocab_size(), np.int64)
+        self.lengths_a[list(self.bytes_a)] = list(map(len, self.bytes_a.values()))
+        self.lengths_b = np.array(list(map(len, self.bytes_b)))
+        # An id as it is told within a group, and at the end of its tokenizer's part of it.
+        self.told_a, self.last_a = _told(len(self.lengths_a), ",", "|")
+        self.told_b, self.last_b = _told(len(pieces), ",", ";")
         for i, piece in enumerate(pieces):
             if not self.second.is_byte(i) and (re.search(f"[^{_SPACE}]{_SPACE}", piece) or "\n" in piece):
                 raise ValueError(f"piece {piece!r} goes over the end of a unit")
@@ -121,29 +140,35 @@ class Pair:
         two = [ids[len(lone) :] for ids in two]
         return one, two
 
-    def aligned(self, unit: str, one: list[int], two: list[int]) -> tuple:
-        """``(groups as text, links)`` of a unit."""
-        spelled_a = [self.bytes_a[i] for i in one]
-        spelled_b = [self.bytes_b[i] for i in two]
-        if not b"".join(spelled_a) == b"".join(spelled_b) == unit.encode():
-            raise ValueError(f"tokens of {unit[:40]!r} do not spell it")
-        a, b = _ends(spelled_a), _ends(spelled_b)
-        told, links = [], []
-        for low_a, high_a, low_b, high_b in groups_of(a, b):
-            told.append(f"{','.join(map(str, one[low_a:high_a]))}|{','.join(map(str, two[low_b:high_b]))}")
-            i, j = low_a, low_b
-            while i < high_a and j < high_b:
-                links.append(one[i] << _HALF | two[j])
-                i, j = i + (a[i] <= b[j]), j + (b[j] <= a[i])
-        return ";".join(told), links
-
-
-def _ends(tokens: list[bytes]) -> list[int]:
-    out, at = [], 0
-    for token in tokens:
-        at += len(token)
-        out.append(at)
-    return out
+    def aligned(self, units: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """For each unit its groups as text, each with ``;`` behind it, and its totals; and all their links."""
+        one, two = self.ids(units)
+        sizes = np.array([[len(x), len(y)] for x, y in zip(one, two)])
+        one, two = (np.fromiter(chain.from_iterable(ids), np.int64) for ids in (one, two))
+        text = "".join(units).encode()
+        for ids, spelling in ((one, self.bytes_a), (two, self.bytes_b)):
+            if b"".join(map(spelling.__getitem__, ids.tolist())) != text:
+                raise ValueError("tokens do not spell their text")
+        a, b = np.cumsum(self.lengths_a[one]), np.cumsum(self.lengths_b[two])
+        after_a, after_b = np.cumsum(sizes, 0).T
+        cut_a = shared_ends(a, b, after_a)
+        cut_b = np.searchsorted(b, a[cut_a])
+        # A link is a stretch between neighbouring ends of either.
+        ends = np.union1d(a, b)
+        links = one[np.searchsorted(a, ends)] << _HALF | two[np.searchsorted(b, ends)]
+        group_a, group_b = np.searchsorted(cut_a, np.arange(len(a))), np.searchsorted(cut_b, np.arange(len(b)))
+        told = [self.told_a[one], self.told_b[two]]
+        told[0][cut_a], told[1][cut_b] = self.last_a[one[cut_a]], self.last_b[two[cut_b]]
+        order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
+        words = np.concatenate(told)[order].tolist()
+        bounds = [0, *(after_a + after_b).tolist()]
+        texts = ["".join(words[i:j]) for i, j in pairwise(bounds)]
+        groups = np.diff(np.searchsorted(cut_a, after_a - 1, "right"), prepend=0)
+        return texts, np.column_stack([sizes, groups, sizes.sum(1) - groups]), links
+
+
+def _told(n: int, *marks: str) -> list[np.ndarray]:
+    return [np.array([f"{i}{mark}" for i in range(n)], object) for mark in marks]
 
 
 def _byte_letters() -> dict[str, int]:
@@ -187,25 +212,25 @@ class _Block:
 
         squeeze = zstandard.ZstdCompressor(level=1).compress
         place: dict[str, int] = {}
-        texts = [
-            np.fromiter((place.setdefault(unit, len(place)) for unit in units), np.uint32, len(units))
-            for units in self.texts
-        ]
+        texts = []
+        for units in self.texts:
+            for unit in set(units).difference(place):
+                place[unit] = len(place)
+            texts.append(np.fromiter(map(place.__getitem__, units), np.uint32, len(units)))
         self.texts = []
-        told, links = [], []
-        totals = np.zeros((len(place), len(_TOTALS)), np.int64)
         names = list(place)
+        told: list[str] = []
+        totals, links = [np.zeros((0, len(_TOTALS)), np.int64)], []
         for at in range(0, len(names), _AT_ONCE):
-            some = names[at : at + _AT_ONCE]
-            for unit, one, two in zip(some, *pair.ids(some)):
-                groups, mine = pair.aligned(unit, one, two)
-                totals[len(told)] = len(one), len(two), groups.count(";") + 1, len(mine)
-                told.append(groups)
-                links.append(np.array(mine, np.int64))
+            some, sums, found = pair.aligned(names[at : at + _AT_ONCE])
+            told += some
+            totals.append(sums)
+            links.append(found)
+        totals = np.concatenate(totals)
         times = np.zeros(len(names), np.int64)
         for doc_id, units in zip(self.doc_ids, texts):
             np.add.at(times, units, 1)
-            groups = ";".join([told[i] for i in units.tolist()])
+            groups = "".join(map(told.__getitem__, units.tolist()))[:-1]
             if hashed and groups:
                 groups = hashlib.sha256(groups.encode()).hexdigest()
             sums = dict(zip(_TOTALS, totals[units].sum(0).tolist()))

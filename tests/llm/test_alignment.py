@@ -5,6 +5,7 @@ import hashlib
 import random
 import time
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -129,17 +130,21 @@ def test_units_join_to_the_librarys_ids():
 
 def test_groups_lie_between_shared_ends():
     rng = random.Random(6)
-    for _ in range(2000):
-        size = rng.randrange(1, 60)
-        a, b = (sorted({*rng.sample(range(1, size + 1), rng.randrange(size + 1)), size}) for _ in "ab")
-        found = alignment.groups_of(a, b)
-        assert [a[h - 1] for _, h, _, _ in found] == [b[h - 1] for _, _, _, h in found] == sorted({*a} & {*b})
-        assert [i for low, high, _, _ in found for i in range(low, high)] == list(range(len(a)))
-        assert [i for _, _, low, high in found for i in range(low, high)] == list(range(len(b)))
-
-
-@pytest.mark.parametrize("b", [list(range(1, 200_001)), [200_000], list(range(1, 1000)) + [200_000], list(range(2, 200_001, 2))])
+    for near in (alignment._NEAR, 1):
+        for _ in range(1500):
+            a, b, after, at = [], [], [], 0
+            for _ in range(rng.randrange(1, 5)):
+                size = rng.randrange(1, 60)
+                for ends in (a, b):
+                    ends += [at + x for x in sorted({*rng.sample(range(1, size + 1), rng.randrange(size + 1)), size})]
+                after.append(len(a))
+                at += size
+            found = alignment.shared_ends(np.array(a), np.array(b), np.array(after))
+            assert [a[k] for k in found] == sorted({*a} & {*b})
+
+
+@pytest.mark.parametrize("b", [range(1, 200_001), [200_000], [*range(1, 1000), 200_000], range(2, 200_001, 2)])
 def test_time_in_proportion_to_the_tokens(b):
     start = time.perf_counter()
-    alignment.groups_of(list(range(1, 200_001)), b)
+    alignment.shared_ends(np.arange(1, 200_001), np.array(b), np.array([200_000]))
     assert time.perf_counter() - start < 5
