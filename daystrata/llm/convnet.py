@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daystrata.llm.labelled import held_out, sample
-from daystrata.llm.words import raw_texts, shipped, text_of
+from daystrata.llm.words import raw_texts, shipped, text_of, unused
 
 #: Labelled documents to learn from at most, and chunks of each at most (spread over its length).
 SAMPLE_DOCS = 3000
@@ -107,6 +107,8 @@ class Network:
         own = np.repeat(length, halves)
         left = own - (np.arange(total) - first) * _HALF
         valid = np.clip(-(-left // STRIDE), 0, spots)
+        final = np.zeros(total, bool)
+        final[ends - 1] = True
         for at in range(0, total, step):
             n = min(step, total - at)
             begin = at * _HALF // 2
@@ -114,8 +116,15 @@ class Network:
             response = np.zeros((count, sums.shape[1]), np.float32)
             for j, table in enumerate(tables):
                 response += table[pairs[begin + j : begin + j + count * STRIDE // 2 : STRIDE // 2]]
-            np.maximum(response, 0, out=response)
             response = response.reshape(n, spots, -1)
+            # The last place of a text's last half looks past its end, where another text begins.
+            over = np.flatnonzero(final[at : at + n])
+            if len(over):
+                place = (at + over + 1) * _HALF // 2 - STRIDE // 2
+                response[over, -1] = sum(
+                    table[pairs[place + j]] if j < STRIDE // 2 else table[0] for j, table in enumerate(tables)
+                )
+            np.maximum(response, 0, out=response)
             short = np.flatnonzero(valid[at : at + n] < spots)
             for k in short:
                 response[k, valid[at + k] :] = 0
@@ -288,17 +297,22 @@ def score(docs: DataFrame, network: Network, modulus: int = 5, remainder: int =
 
 
 def kept(docs: DataFrame, network: Network) -> DataFrame:
-    """The rows that count as good, with all their columns."""
-    return _judged(docs, network).where(F.col("_score") >= THRESHOLD).drop("_score")
+    """The rows that count as good, with all their columns, whatever their names.
+
+    Null and empty texts are judged by the network's answer to no bytes; equal texts are judged alike,
+    so repeated rows stay or go together; an empty table stays empty.
+    """
+    name = unused("score", docs.columns)
+    return _judged(docs, network, name).where(F.col(name) >= THRESHOLD).drop(name)
 
 
-def _judged(docs: DataFrame, network: Network) -> DataFrame:
-    """Every column of every row, and ``_score``; rows go through as they are, without a join."""
+def _judged(docs: DataFrame, network: Network, name: str) -> DataFrame:
+    """Every column of every row, and its score; rows go through as they are, without a join."""
 
     def run(batches):
         tables = network.tables()
         for batch in batches:
             scores = network.probabilities(raw_texts(batch), tables)
-            yield batch.append_column("_score", pa.array(scores, pa.float64()))
+            yield batch.append_column(name, pa.array(scores, pa.float64()))
 
-    return shipped(docs).mapInArrow(run, T.StructType(list(docs.schema.fields)).add("_score", "double"))
+    return shipped(docs).mapInArrow(run, T.StructType(list(docs.schema.fields)).add(name, "double"))

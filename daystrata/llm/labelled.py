@@ -16,7 +16,8 @@ def sample(
     docs: DataFrame, labels: DataFrame, label: str, rows: int, modulus: int, remainder: int
 ) -> DataFrame:
     """``(text, label)`` of at most ``rows`` labelled documents outside the held-out part, chosen by
-    a hash of the id. Ids are at most ``rows``, so the join broadcasts them whatever the tables hold.
+    a hash of the id. Ids are at most ``rows``, so the join broadcasts them whatever the tables hold; of
+    documents with one id the least text stands for all.
     """
     known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull())
     known = known.where(~held_out(modulus, remainder)).groupBy(F.col("doc_id").alias("known_id"))
@@ -25,4 +26,5 @@ def sample(
     mine = docs.select(
         F.col("doc_id").alias("known_id"), F.coalesce(F.col("text"), F.lit("")).alias("text")
     )
-    return mine.join(F.broadcast(chosen), "known_id").select("text", "label")
+    known = mine.join(F.broadcast(chosen), "known_id").groupBy("known_id")
+    return known.agg(F.min("text").alias("text"), F.min("label").alias("label")).select("text", "label")

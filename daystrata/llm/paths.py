@@ -27,6 +27,7 @@ from daystrata.llm.words import (
     rolling,
     shipped,
     slices,
+    unused,
     word_hashes,
 )
 from daystrata.sources.files import checkpointed
@@ -422,16 +423,21 @@ def groups(docs: DataFrame, recall: float = RECALL, block: int = BLOCK) -> DataF
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` with one of each group of linked ones, the least by id; all columns stay."""
+    """The rows of ``docs`` with one of each group of linked ones, the least by id; all columns stay.
+
+    Texts without words link to nothing and stay; of rows with one id and text one stays, a null id
+    counting as an id; an empty table stays empty.
+    """
     kept = groups(docs).where("first").select(*_KEYS).distinct()
+    doc_key, text_key = (unused(name, docs.columns) for name in _KEYS)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     named = docs.withColumns(
         {
-            "_doc_key": F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(1 << 63))),
-            "_text_key": F.xxhash64(text),
+            doc_key: F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(1 << 63))),
+            text_key: F.xxhash64(text),
         }
     )
-    kept = kept.select(F.col("doc_key").alias("_doc_key"), F.col("text_key").alias("_text_key"))
-    left = named.join(kept, ["_doc_key", "_text_key"], "left_semi")
+    kept = kept.select(F.col("doc_key").alias(doc_key), F.col("text_key").alias(text_key))
+    left = named.join(kept, [doc_key, text_key], "left_semi")
     # Rows repeated whole lie in one partition already.
-    return left.dropDuplicates(["_doc_key", "_text_key"]).drop("_doc_key", "_text_key")
+    return left.dropDuplicates([doc_key, text_key]).drop(doc_key, text_key)

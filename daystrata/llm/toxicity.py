@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daystrata.llm.labelled import held_out, sample
-from daystrata.llm.words import MEMO_ENTRIES, shipped, string_texts, text_of
+from daystrata.llm.words import MEMO_ENTRIES, shipped, string_texts, text_of, unused
 from daystrata.sources.files import checkpointed
 
 #: Labelled documents to learn from at most.
@@ -297,13 +297,17 @@ def score(docs: DataFrame, model: Model, modulus: int = 4, remainder: int = 2) -
 
 
 def kept(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows that do not count as toxic, with all their columns; no join."""
+    """The rows that do not count as toxic, with all their columns, whatever their names; no join.
+
+    Null and empty texts hold no segment and are scored as such; equal texts are judged alike, so repeated
+    rows stay or go together; an empty table stays empty.
+    """
+    name = unused("score", docs.columns)
 
     def run(batches):
         for batch in batches:
             scores = [model.judge(text)[0] for text in string_texts(batch)]
-            yield batch.append_column("_score", pa.array(scores, pa.float64()))
+            yield batch.append_column(name, pa.array(scores, pa.float64()))
 
-    schema = T.StructType(list(docs.schema.fields)).add("_score", "double")
-    judged = shipped(docs).mapInArrow(run, schema)
-    return judged.where(F.col("_score") < THRESHOLD).drop("_score")
+    schema = T.StructType(list(docs.schema.fields)).add(name, "double")
+    return shipped(docs).mapInArrow(run, schema).where(F.col(name) < THRESHOLD).drop(name)

@@ -83,6 +83,14 @@ def doc_id_of(key: str) -> Column:
     return F.when(F.col(key) != _NO_ID, F.col(key)).alias("doc_id")
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """A name like this one that none of the columns has."""
+    taken = {column.lower() for column in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def raw_texts(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
     """A text column as UTF-8 bytes, null taken as empty."""
     column = batch.column(batch.schema.get_field_index(name)).cast(pa.large_binary())
