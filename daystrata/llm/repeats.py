@@ -32,6 +32,7 @@ from daystrata.llm.words import (
     shipped,
     slices,
     unpacked,
+    unused,
     word_hashes,
 )
 from daystrata.sources.files import checkpointed
@@ -42,32 +43,41 @@ WINDOW, GRAM = 35, 8
 GROUP = 256
 #: Places whose subtrees are sorted at a time.
 _AT_ONCE = 8192
+#: A key with one of so many parts of all rows is joined apart.
+_HOT = 200
 #: Bytes kept of a word's hash; passages are equal when all their words are.
 _SYMBOL = 5
 
 _KEYS = ["doc_key", "text_key"]
 
 
-def passages(hashes: np.ndarray, window: int, gram: int):
+def passages(hashes: np.ndarray, window: int, gram: int, piece: int = 1 << 23):
     """``(grams, first, last)``: the splitting grams of a document's windows, in order, each with the
-    first and last window that it splits off."""
+    first and last window that it splits off.
+
+    Places share a word with the hash, so windows are taken ``piece`` at a time, which cuts spans but
+    changes no window's gram.
+    """
     n = len(hashes) - window + 1
     if n <= 0:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     grams = rolling(hashes, gram)
-    low = np.uint64((1 << 24) - 1)
-    # Hash above, place below: the least is the leftmost of the least-hashed.
-    least = (mixed(grams) & ~low) | np.arange(len(grams), dtype=np.uint64)
-    span, width = 1, window - gram + 1
-    while span * 2 <= width:
-        least = np.minimum(least[:-span], least[span:])
-        span *= 2
-    least = np.minimum(least[: n], least[width - span : width - span + n])
-    owner = (least & low).astype(np.int64)
-    starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
-    return grams[owner[starts]], starts, np.r_[starts[1:], n] - 1
-
-
+    low, width = np.uint64((1 << 24) - 1), window - gram + 1
+    parts = []
+    for begin in range(0, n, piece):
+        count = min(piece, n - begin)
+        some = grams[begin : begin + count + width - 1]
+        # Hash above, place below: the least is the leftmost of the least-hashed.
+        least = (mixed(some) & ~low) | np.arange(len(some), dtype=np.uint64)
+        span = 1
+        while span * 2 <= width:
+            least = np.minimum(least[:-span], least[span:])
+            span *= 2
+        least = np.minimum(least[:count], least[width - span : width - span + count])
+        owner = (least & low).astype(np.int64)
+        starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+        parts.append((some[owner[starts]], begin + starts, begin + np.r_[starts[1:], count] - 1))
+    return tuple(np.concatenate(column) for column in zip(*parts))
 
 
 def _signed(values: np.ndarray) -> np.ndarray:
@@ -97,12 +107,12 @@ def repeated(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, group: int
                 names=[*_KEYS, "grams"],
             )
 
-    placed = keyed_texts(shipped(docs)).mapInArrow(
-        grams_of, "doc_key bigint, text_key bigint, grams array<bigint>"
+    placed = checkpointed(
+        keyed_texts(shipped(docs)).mapInArrow(grams_of, "doc_key bigint, text_key bigint, grams array<bigint>")
     )
     places = placed.select(*_KEYS, F.explode("grams").alias("gram"))
-    counted = places.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1")
-    shared = places.join(counted, "gram").groupBy(*_KEYS)
+    counted = checkpointed(places.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1"))
+    shared = _with_counts(places, counted, "gram").groupBy(*_KEYS)
     hot = F.col("n") > group
     wanted = checkpointed(
         shared.agg(
@@ -117,6 +127,20 @@ def repeated(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, group: int
     return bits.groupBy(*_KEYS).agg(F.collect_list(F.struct("first", "bits")).alias("found"))
 
 
+def _with_counts(rows: DataFrame, found: DataFrame, key: str) -> DataFrame:
+    """``rows`` joined to ``found`` on the key, ``found`` having one row per key and its number ``n`` of rows.
+
+    A key that many rows share would send them all to one task. At most ``_HOT`` keys can hold that share
+    of the rows; only these are broadcast, and what remains of the rows joins as usual.
+    """
+    total = found.agg(F.sum("n")).first()[0] or 0
+    hot = F.col("n") * _HOT >= total
+    few = F.broadcast(found.where(hot))
+    apart = rows.join(few, key)
+    rest = rows.join(few.select(key), key, "left_anti").join(found.where(~hot), key)
+    return apart.unionByName(rest)
+
+
 def _spans(batch, column: int, window: int, gram: int):
     """Row, word hashes and wanted spans ``(gram, first, last)`` of a batch's documents."""
     wanted = batch.column(column)
@@ -243,16 +267,17 @@ def _long_prefixes(searched: DataFrame, window: int, gram: int) -> DataFrame:
     rows = searched.where(F.size("hot") > 0).mapInArrow(
         runs, "doc_key bigint, text_key bigint, first int, run bigint, labels array<bigint>"
     )
-    different = rows.groupBy("run").agg(F.count("*").alias("n"), F.first("labels").alias("labels"))
+    different = checkpointed(rows.groupBy("run").agg(F.count("*").alias("n"), F.first("labels").alias("labels")))
     windows = different.select("run", "n", F.posexplode("labels").alias("k", "label"))
     twice = windows.groupBy("label").agg(F.sum("n").alias("n")).where("n > 1").select("label")
     alone = windows.where("n = 1").join(twice, "label")
     one = F.expr("shiftleft(1L, k)")
-    found = alone.groupBy("run").agg(F.bit_or(one).alias("bits"))
+    found = alone.groupBy("run").agg(F.bit_or(one).alias("bits")).withColumn("n", F.lit(1).cast("bigint"))
     every = F.expr("shiftleft(1L, size(labels)) - 1")
-    settled = different.where("n > 1").select("run", every.alias("bits"))
-    bits = settled.unionAll(found)
-    return rows.select(*_KEYS, "first", "run").join(bits, "run").select(*_KEYS, "first", "bits")
+    settled = different.where("n > 1").select("run", every.alias("bits"), "n")
+    bits = checkpointed(settled.unionAll(found))
+    named = checkpointed(rows.select(*_KEYS, "first", "run"))
+    return _with_counts(named, bits, "run").select(*_KEYS, "first", "bits")
 
 
 def remove(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, group: int = GROUP) -> DataFrame:
@@ -296,14 +321,14 @@ def cut(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, group: int = GR
     becomes its kept words joined by one space.
     """
     found = repeated(docs, window, gram, group)
+    doc_key, text_key, marks = (unused(name, docs.columns) for name in (*_KEYS, "found"))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     key = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(1 << 63)))
-    named = docs.withColumns({"_doc_key": key, "_text_key": F.xxhash64(text)})
+    named = docs.withColumns({doc_key: key, text_key: F.xxhash64(text)})
     found = found.select(
-        F.col("doc_key").alias("_doc_key"), F.col("text_key").alias("_text_key"),
-        F.col("found").alias("_found"),
+        F.col("doc_key").alias(doc_key), F.col("text_key").alias(text_key), F.col("found").alias(marks)
     )
-    marked = named.join(found, ["_doc_key", "_text_key"], "left").drop("_doc_key", "_text_key")
+    marked = named.join(found, [doc_key, text_key], "left").drop(doc_key, text_key)
 
     def shorten(batches):
         for batch in batches:
@@ -323,13 +348,10 @@ def cut(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, group: int = GR
 def covered(n: int, marks: list[dict] | None, window: int) -> np.ndarray:
     """Which of ``n`` words lie in a marked window."""
     starts = np.zeros(n + 1, np.int64)
-    for mark in marks or ():
-        bits = mark["bits"]
-        while bits:
-            low = bits & -bits
-            at = mark["first"] + low.bit_length() - 1
-            starts[at] = 1
-            bits ^= low
+    if marks:
+        bits = np.array([mark["bits"] for mark in marks], "<i8").view(np.uint8).reshape(-1, 8)
+        which, place = np.nonzero(np.unpackbits(bits, 1, bitorder="little"))
+        starts[np.array([mark["first"] for mark in marks])[which] + place] = 1
     total = np.cumsum(starts)
     before = np.r_[np.zeros(window, np.int64), total[:-window]] if n >= window else 0
     return (total - before)[:n] > 0
