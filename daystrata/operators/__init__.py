@@ -1,10 +1,14 @@
 from daystrata.operators.cleaning import cast_by_lists, clean, fill_by_type
 from daystrata.operators.extremes import (
+    cell_extremes,
     first_max_record,
+    first_of_extremes,
     global_max,
     head_n,
     hottest_record,
+    latest_rows,
     max_per_day,
+    merge_extremes,
     where_all,
     where_max,
 )
@@ -32,6 +36,7 @@ from daystrata.operators.shaping import (
 __all__ = [
     "cast_by_lists",
     "cast_failures",
+    "cell_extremes",
     "check_not_empty",
     "clean",
     "columns_of_type",
@@ -41,12 +46,15 @@ __all__ = [
     "file_row_counts",
     "fill_by_type",
     "first_max_record",
+    "first_of_extremes",
     "global_max",
     "head_n",
     "hottest_record",
     "hour_out_of_range",
     "label",
+    "latest_rows",
     "max_per_day",
+    "merge_extremes",
     "non_empty",
     "project",
     "reconcile_content",

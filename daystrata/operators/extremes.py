@@ -59,6 +59,68 @@ def hottest_record(df: DataFrame, config: ObservationConfig = WEATHER) -> DataFr
     )
 
 
+def cell_extremes(df: DataFrame, value: str, day: str, file_date: str, order: Sequence[str]) -> DataFrame:
+    """``(file_date, day, value, *order)``: the largest value of each day and file date, and the least
+    ``order`` columns among the rows that hold it. Rows with a null in any of them but the file date do not
+    take part.
+
+    One row per cell out of partial aggregates, and the tables of two batches merge by ``merge_extremes``,
+    so a layer's answers follow from its cells' without its rows.
+    """
+    known = df.where(_all([quoted(name).isNotNull() for name in (value, day, *order)]))
+    return _least_top(known, value, day, file_date, order)
+
+
+def merge_extremes(tables: DataFrame, value: str, day: str, order: Sequence[str]) -> DataFrame:
+    """``(day, value, *order)``: rows of ``cell_extremes`` of any cells, as one per day."""
+    return _least_top(tables, value, day, None, order)
+
+
+def first_of_extremes(tables: DataFrame, value: str, day: str, order: Sequence[str]) -> DataFrame:
+    """The one record with the largest value, then the least day, then the least ``order`` columns."""
+    found = tables.agg(F.min(_top(value, (day, *order))).alias("first")).where("first is not null")
+    return found.select(
+        F.col(f"first.{_quote(day)}").alias(day),
+        F.col("first.value").alias(value),
+        *[F.col(f"first.{_quote(name)}").alias(name) for name in order],
+    )
+
+
+def _least_top(df: DataFrame, value: str, day: str, file_date: str | None, order: Sequence[str]) -> DataFrame:
+    keys = [name for name in (file_date, day) if name is not None]
+    found = df.groupBy(*map(quoted, keys)).agg(F.min(_top(value, order)).alias("first"))
+    return found.select(
+        *map(quoted, keys), F.col("first.value").alias(value),
+        *[F.col(f"first.{_quote(name)}").alias(name) for name in order],
+    )
+
+
+def _top(value: str, order: Sequence[str]) -> Column:
+    """Least for the largest value, NaN before all, and among its rows for the least ``order`` columns."""
+    number = quoted(value)
+    return F.struct(
+        (~F.isnan(number.cast("double"))).alias("n"), (-number).alias("v"),
+        *[quoted(name).alias(name) for name in order], number.alias("value"),
+    )
+
+
+def _quote(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def latest_rows(df: DataFrame, keys: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """One row per key: the one that is last in the order of ``by``, null first, then of all columns.
+
+    The last row of a key is a partial maximum, so each task sends one row per key. Null keys are keys.
+    """
+    order = [F.struct(quoted(name).isNotNull(), quoted(name)) for name in by]
+    rest = [F.struct(quoted(name).isNotNull(), quoted(name)) for name in df.columns]
+    row = F.struct(*map(quoted, df.columns))
+    last = F.max_by(row, F.struct(*order, *rest)).alias("last")
+    found = df.groupBy(*[quoted(name).alias(f"key{i}") for i, name in enumerate(keys)]).agg(last)
+    return found.select("last.*")
+
+
 def head_n(df: DataFrame, n: int, order: Sequence[str] = ()) -> DataFrame:
     """The first ``n`` rows; name an ``order`` for a repeatable answer."""
     return (df.orderBy(*map(quoted, order)) if order else df).limit(n)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -660,6 +661,73 @@ def landing_increments(spark, sf_dir):
     return found.withColumn("event_id", lenient_cast("event_id", "bigint"))
 
 
+def _kept_extremes(spark, sf_dir) -> tuple[str, str]:
+    """Clean layer of two batches, and the table of extremes brought up to date after each."""
+    root, late = _two_batches(spark, sf_dir)
+    clean_root, extremes = scratch_dir(spark, "clean"), scratch_dir(spark, "extremes")
+    first, second = (datetime.date(2024, month, 1) for month in (1, 3))
+    plans.raw_to_clean(spark, root, clean_root)
+    plans.keep_extremes(spark, clean_root, extremes)
+    sinks.write_raw(late, root, gather_days=True)
+    plans.raw_to_clean(spark, root, clean_root, file_dates=[second])
+    plans.keep_extremes(spark, clean_root, extremes, [second])
+    # The first file lands again as it was: its rows of the table are replaced, not doubled.
+    plans.keep_extremes(spark, clean_root, extremes, [first])
+    return clean_root, extremes
+
+
+@query(
+    f"""{I.CLEAN_CTE} select ObservationDate, Region, ScreenTemperature from obs_clean
+    order by ScreenTemperature desc, ObservationDate, Region limit 1"""
+)
+def first_max_kept(spark, sf_dir):
+    """Out of the table of extremes alone."""
+    return plans.first_max_kept(spark, _kept_extremes(spark, sf_dir)[1])
+
+
+@query(_SQL["max_per_day"])
+def max_per_day_kept(spark, sf_dir):
+    return plans.max_per_day_kept(spark, _kept_extremes(spark, sf_dir)[1])
+
+
+@query(_SQL["hottest_record_all"])
+def hottest_kept(spark, sf_dir):
+    clean_root, extremes = _kept_extremes(spark, sf_dir)
+    return plans.hottest_kept(spark, extremes, clean_root)
+
+
+@query(
+    f"""{I.CLEAN_CTE} select * replace (case when event_id % 5 = 0 then 'corrected' else Region end as Region)
+    from obs_clean"""
+)
+def settled_days(spark, sf_dir):
+    """A later file brings other regions for a fifth of the rows; the rest of their days stays."""
+    raw = I.obs_raw(spark, sf_dir)
+    raw_root, clean_root, settled = (scratch_dir(spark, name) for name in ("raw", "clean", "settled"))
+    first, second = (datetime.date(2024, month, 1) for month in (1, 3))
+    sinks.write_raw(raw.withColumn("file_date", F.lit(first)), raw_root, gather_days=True)
+    plans.raw_to_clean(spark, raw_root, clean_root)
+    plans.settle_days(spark, clean_root, settled, ["event_id"])
+    again = raw.where("event_id % 5 = 0").withColumn("Region", F.lit("corrected"))
+    sinks.write_raw(again.withColumn("file_date", F.lit(second)), raw_root, gather_days=True)
+    plans.raw_to_clean(spark, raw_root, clean_root, file_dates=[second])
+    plans.settle_days(spark, clean_root, settled, ["event_id"], [second])
+    return sources.read_clean(spark, settled)
+
+
+@query(
+    f"""{I.CLEAN_CTE} select * from obs_clean
+    where ForecastSiteCode = (select max(ForecastSiteCode) from obs_clean) and WindGust = 0"""
+)
+def point_lookup(spark, sf_dir):
+    """Rows of one site out of a layer that is sorted by site and keeps Bloom filters."""
+    root = scratch_dir(spark, "clean")
+    rows = obs_clean(spark, sf_dir)
+    sinks.write_clean(rows, root, lookup=["ForecastSiteCode", "event_id"])
+    last = rows.agg(F.max("ForecastSiteCode")).first()[0]
+    return ops.where_all(sources.read_clean(spark, root), {"ForecastSiteCode": last, "WindGust": 0})
+
+
 @query(
     f"""{I.RAW_CTE} select case when event_id % 4 = 0 then 'none' end as day, event_id, Pressure, Region
     from obs_raw where event_id % 4 = 0"""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import date
 
 from pyspark.errors import AnalysisException
@@ -10,7 +10,15 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from daystrata.functions.text import quoted
-from daystrata.sources.days import DAY_PARTS, FILE_PART, NULL_PART, REJECTED, REJECTED_ROW, from_files
+from daystrata.sources.days import (
+    DAY_PARTS,
+    FILE_PART,
+    NULL_PART,
+    REJECTED,
+    REJECTED_ROW,
+    cells_of_files,
+    from_files,
+)
 from daystrata.sources.files import checkpointed, list_files
 from daystrata.sources.schemas import keep_columns
 
@@ -31,6 +39,8 @@ def write_by_day(
     checks: Sequence[Column] = (),
     rejects: Column | None = None,
     hidden: Sequence[str] = (),
+    lookup: Sequence[str] = (),
+    writer_options: Mapping[str, object] | None = None,
 ) -> Observation:
     """Replaces days below ``root/year=/month=/day=`` by what ``df`` holds.
 
@@ -46,6 +56,10 @@ def write_by_day(
     leaves out are written by the same job, that text with them, to a cell of the layer that only
     ``read_rejects`` shows.
 
+    ``lookup`` names columns that rows are looked up by: each file is sorted by them and keeps a Bloom filter
+    of each, so that a reader asking for one value (``where_all``) passes over the row groups without it.
+    ``writer_options`` go to Spark's Parquet writer.
+
     ``gather_days`` brings a day's rows together through ``REBALANCE``: a day below the session's
     ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` becomes one file, and adaptive execution
     splits a larger one over many tasks and files, so no day passes through a single task. Without
@@ -94,12 +108,12 @@ def write_by_day(
     if drop_null_day and not rejecting:
         rows = rows.where(day.isNotNull())
     old = _files(spark, root, file_dates, file_date) if whole or file_dates is not None else None
-    (
-        rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*levels)
-        .parquet(root)
-    )
+    if lookup:
+        rows = rows.sortWithinPartitions(*levels, *map(quoted, lookup))
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    for name in lookup:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{name}", "true")
+    writer.options(**(writer_options or {})).partitionBy(*levels).parquet(root)
     if old is not None:
         _empty(df.select(*kept), old, _files(spark, root, file_dates, file_date))
     return counts
@@ -110,16 +124,12 @@ def _files(
 ) -> DataFrame:
     """Paths of the layer's data files, those of some file dates only; others' directories are not listed."""
     place = root
-    if file_dates is not None and not set(root) & set("{}[]*?\\") and len(file_dates) <= _LISTED_CELLS:
-        if file_date is None:
-            cells = [
-                "/".join(f"{name}={part}" for name, part in zip(DAY_PARTS, (day.year, day.month, day.day) if day else [NULL_PART] * 3))
-                for day in file_dates
-            ]
-            place = f"{root}/{{{','.join(cells)}}}"
-        else:
-            any_day = "/".join(f"{name}=*" for name in DAY_PARTS)
-            place = f"{root}/{any_day}/{FILE_PART}={{{','.join(str(day or NULL_PART) for day in file_dates)}}}"
+    if file_dates and file_date is not None:
+        place = cells_of_files(root, file_dates) or root
+    elif file_dates and len(file_dates) <= _LISTED_CELLS and not set(root) & set("{}[]*?\\"):
+        parts = [(day.year, day.month, day.day) if day else [NULL_PART] * 3 for day in file_dates]
+        cells = ["/".join(f"{name}={part}" for name, part in zip(DAY_PARTS, cell)) for cell in parts]
+        place = f"{root}/{{{','.join(cells)}}}"
     nothing = spark.createDataFrame([], "file_path string")
     if file_dates is not None and not file_dates:
         return nothing
@@ -180,10 +190,11 @@ def write_raw(
     date_col: str = "file_date",
     gather_days: bool = False,
     file_dates: Sequence[date] | None = None,
+    **options,
 ) -> Observation:
     """Raw layer by file date. A landing split holds one file date, so by default no shuffle."""
     return write_by_day(
-        df, root, date_col, drop_null_day=False, gather_days=gather_days, file_dates=file_dates
+        df, root, date_col, drop_null_day=False, gather_days=gather_days, file_dates=file_dates, **options
     )
 
 

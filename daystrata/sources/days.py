@@ -23,6 +23,8 @@ REJECTED_ROW = "rejected_row"
 
 # Longer ranges are cheaper to list as a whole. The columns do not depend on it.
 _LISTED_MONTHS = 120
+# The same for the cells of some file dates.
+_LISTED_CELLS = 400
 
 
 def read_days(
@@ -32,10 +34,12 @@ def read_days(
     end: date | str | None = None,
     days: Sequence[date | None] | None = None,
     file_dates: Sequence[date | None] | None = None,
+    with_file_date: bool = False,
 ) -> DataFrame:
     """Rows of the days from ``start`` to ``end``, both included, or of ``days``; other directories
     are not read. ``None`` among ``days`` stands for the rows without a day; other bounds leave them out.
-    ``file_dates`` keeps, in a layer that tells them apart, what came from files of these dates.
+    ``file_dates`` keeps, in a layer that tells them apart, what came from files of these dates, and lists
+    no others' directories. ``with_file_date`` leaves that date in the rows, as ``from_file_date``.
 
     With both bounds only the months between them are listed, so the cost of planning does not grow
     with the layer. Without bounds all rows come back, those without a day too. The columns are all
@@ -46,14 +50,16 @@ def read_days(
     known = None if days is None else [day for day in days if day is not None]
     directory_day = F.expr(DAY)
     if file_dates is not None:
-        df = _shown(_scan(spark, root, first, last)).where(from_files(F.col(FILE_PART).cast("date"), file_dates))
+        df = _shown(_scan(spark, root, first, last, file_dates=file_dates))
+        df = df.where(from_files(F.col(FILE_PART).cast("date"), file_dates))
         df = df.where(directory_day >= F.lit(first)) if first is not None else df
         df = df.where(directory_day <= F.lit(last)) if last is not None else df
-        return df.drop(*DAY_PARTS, FILE_PART)
+        return df.drop(*DAY_PARTS, *([] if with_file_date else [FILE_PART]))
+    dropped = [*DAY_PARTS] if with_file_date else [*DAY_PARTS, FILE_PART]
     if days is not None and len(known) < len(days) and first is None and last is None:
         df = _scan(spark, root, min(known, default=None), max(known, default=None), undated=True)
         wanted = directory_day.isNull() | directory_day.isin(known)
-        return _shown(df).where(wanted).drop(*DAY_PARTS, FILE_PART)
+        return _shown(df).where(wanted).drop(*dropped)
     if known:
         first, last = first or min(known), last or max(known)
     df = _scan(spark, root, first, last)
@@ -65,7 +71,15 @@ def read_days(
         df = df.where(directory_day <= F.lit(last))
     if days is not None:
         df = df.where(directory_day.isin(known) if known else F.lit(False))
-    return df.drop(*DAY_PARTS, FILE_PART)
+    return df.drop(*dropped)
+
+
+def cells_of_files(root: str, file_dates: Sequence[date | None]) -> str | None:
+    """A path that names the cells of some file dates, or None where the layer has to be listed."""
+    if not file_dates or len(file_dates) > _LISTED_CELLS or set(root) & set("{}[]*?\\"):
+        return None
+    any_day = "/".join(f"{name}=*" for name in DAY_PARTS)
+    return f"{root}/{any_day}/{FILE_PART}={{{','.join(str(day or NULL_PART) for day in file_dates)}}}"
 
 
 def from_files(file_date: Column, dates: Sequence[date | None]) -> Column:
@@ -88,7 +102,8 @@ def read_rejects(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _scan(
-    spark: SparkSession, root: str, first: date | None, last: date | None, undated: bool = False
+    spark: SparkSession, root: str, first: date | None, last: date | None, undated: bool = False,
+    file_dates: Sequence[date | None] | None = None,
 ) -> DataFrame:
     columns = known_columns(spark, root)
     # A layer that another tool wrote has no column list: its files are asked, all of them.
@@ -100,9 +115,13 @@ def _scan(
     months = _months(first, last) if first and last and not set(root) & set("{}[]*?\\") else []
     if undated and months:
         months.append(f"year={NULL_PART}/month={NULL_PART}")
-    if columns is not None and 0 < len(months) <= _LISTED_MONTHS:
+    cells = f"{root}/{{{','.join(months)}}}" if 0 < len(months) <= _LISTED_MONTHS else None
+    if file_dates is not None:
+        cells = cells_of_files(root, file_dates)
+        reader = reader.schema(f"{ddl}, {FILE_PART} date") if columns is not None else reader
+    if columns is not None and cells is not None:
         try:
-            return reader.option("basePath", root).parquet(f"{root}/{{{','.join(months)}}}")
+            return reader.option("basePath", root).parquet(cells)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
