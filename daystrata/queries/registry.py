@@ -744,6 +744,27 @@ def rejected_rows(spark, sf_dir):
     return sources.read_rejects(spark, clean_root).select(row).select("row.*").withColumnRenamed("ObservationDate", "day")
 
 
+@query(
+    f"""{I.CLEAN_CTE} select * replace (
+      case when event_id % 3 <> 0 then Pressure::bigint else Pressure::bigint + 5000000000 end as Pressure,
+      case when event_id % 3 <> 0 then Visibility::double else Visibility / 2.0 end as Visibility,
+      case when event_id % 3 <> 0 then WindSpeed::varchar else 'calm' end as WindSpeed) from obs_clean"""
+)
+def widened_types(spark, sf_dir):
+    """A later batch brings three columns in wider types; readers see types that take both."""
+    root, rows = scratch_dir(spark, "clean"), obs_clean(spark, sf_dir)
+    early, late = (rows.where(part).withColumn("of", F.lit(day).cast("date")) for part, day in (
+        (F.expr(_EARLY), "2024-01-01"), (~F.expr(_EARLY), "2024-03-01")))
+    wider = late.withColumns({
+        "Pressure": F.col("Pressure").cast("bigint") + 5_000_000_000,
+        "Visibility": F.col("Visibility") / 2,
+        "WindSpeed": F.lit("calm"),
+    })
+    for part in (early, wider):
+        sinks.write_clean(part, root, file_date="of", widen=True)
+    return sources.read_clean(spark, root)
+
+
 _MONTH = "strftime(date_trunc('month', ts), '%Y%m%d')"
 
 

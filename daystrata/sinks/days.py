@@ -41,6 +41,7 @@ def write_by_day(
     hidden: Sequence[str] = (),
     lookup: Sequence[str] = (),
     writer_options: Mapping[str, object] | None = None,
+    widen: bool = False,
 ) -> Observation:
     """Replaces days below ``root/year=/month=/day=`` by what ``df`` holds.
 
@@ -58,7 +59,8 @@ def write_by_day(
 
     ``lookup`` names columns that rows are looked up by: each file is sorted by them and keeps a Bloom filter
     of each, so that a reader asking for one value (``where_all``) passes over the row groups without it.
-    ``writer_options`` go to Spark's Parquet writer.
+    ``writer_options`` go to Spark's Parquet writer. With ``widen`` a column may come in another type than
+    before; readers see the type that takes both (int, bigint, double, then text).
 
     ``gather_days`` brings a day's rows together through ``REBALANCE``: a day below the session's
     ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` becomes one file, and adaptive execution
@@ -88,8 +90,10 @@ def write_by_day(
     if file_date is not None:
         parts.append(quoted(file_date).alias(FILE_PART))
         levels.append(FILE_PART)
-    rows = df.select(*kept, *parts, *map(quoted, hidden))
-    keep_columns(df.select(*kept), root)
+    held = keep_columns(df.select(*kept), root, widen)
+    rows = df.select(
+        *[quoted(name).alias(inner) for name, inner in held.items()], *parts, *map(quoted, hidden)
+    )
     if gather_days:
         rows = rows.hint("rebalance", *levels)
     counts = Observation()
@@ -109,13 +113,13 @@ def write_by_day(
         rows = rows.where(day.isNotNull())
     old = _files(spark, root, file_dates, file_date) if whole or file_dates is not None else None
     if lookup:
-        rows = rows.sortWithinPartitions(*levels, *map(quoted, lookup))
+        rows = rows.sortWithinPartitions(*levels, *[quoted(held[name]) for name in lookup])
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     for name in lookup:
-        writer = writer.option(f"parquet.bloom.filter.enabled#{name}", "true")
+        writer = writer.option(f"parquet.bloom.filter.enabled#{held[name]}", "true")
     writer.options(**(writer_options or {})).partitionBy(*levels).parquet(root)
     if old is not None:
-        _empty(df.select(*kept), old, _files(spark, root, file_dates, file_date))
+        _empty(rows.select(*[quoted(name) for name in held.values()]), old, _files(spark, root, file_dates, file_date))
     return counts
 
 

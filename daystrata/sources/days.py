@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daystrata.sources.schemas import known_columns
+from daystrata.sources.schemas import known_columns, shown
 
 # The partition columns of every layer, and of a layer that tells its rows' files apart.
 DAY_PARTS = ("year", "month", "day")
@@ -50,7 +50,7 @@ def read_days(
     known = None if days is None else [day for day in days if day is not None]
     directory_day = F.expr(DAY)
     if file_dates is not None:
-        df = _shown(_scan(spark, root, first, last, file_dates=file_dates))
+        df = _days_only(_scan(spark, root, first, last, file_dates=file_dates))
         df = df.where(from_files(F.col(FILE_PART).cast("date"), file_dates))
         df = df.where(directory_day >= F.lit(first)) if first is not None else df
         df = df.where(directory_day <= F.lit(last)) if last is not None else df
@@ -59,12 +59,12 @@ def read_days(
     if days is not None and len(known) < len(days) and first is None and last is None:
         df = _scan(spark, root, min(known, default=None), max(known, default=None), undated=True)
         wanted = directory_day.isNull() | directory_day.isin(known)
-        return _shown(df).where(wanted).drop(*dropped)
+        return _days_only(df).where(wanted).drop(*dropped)
     if known:
         first, last = first or min(known), last or max(known)
     df = _scan(spark, root, first, last)
     if first is None and last is None and days is None:
-        df = _shown(df)
+        df = _days_only(df)
     if first is not None:
         df = df.where(directory_day >= F.lit(first))
     if last is not None:
@@ -110,7 +110,7 @@ def _scan(
     reader = spark.read.option("mergeSchema", columns is None)
     if columns is not None:
         parts = [f"{name} int" for name in DAY_PARTS]
-        ddl = ", ".join([columns.toDDL(), *parts])
+        ddl = ", ".join([*[f"{_quote(f.name)} {f.dataType.simpleString()}" for f in columns.fields], *parts])
         reader = reader.schema(ddl)
     months = _months(first, last) if first and last and not set(root) & set("{}[]*?\\") else []
     if undated and months:
@@ -121,15 +121,19 @@ def _scan(
         reader = reader.schema(f"{ddl}, {FILE_PART} date") if columns is not None else reader
     if columns is not None and cells is not None:
         try:
-            return reader.option("basePath", root).parquet(cells)
+            return shown(reader.option("basePath", root).parquet(cells), columns)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
     # No such month: the whole layer has the columns, and the bounds leave no row.
-    return reader.parquet(root)
+    return shown(reader.parquet(root), columns)
 
 
-def _shown(layer: DataFrame) -> DataFrame:
+def _quote(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _days_only(layer: DataFrame) -> DataFrame:
     """Without the cell of rejected rows, whose day is none; a bound on the day does the same."""
     return layer.where(F.coalesce(F.col(DAY_PARTS[1]), F.lit(-1)) != REJECTED)
 

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from daystrata.functions.text import quoted
 from daystrata.sources.days import DAY, DAY_PARTS, FILE_PART, NULL_PART, REJECTED
 from daystrata.sources.files import scratch_dir
-from daystrata.sources.schemas import known_columns
+from daystrata.sources.schemas import known_columns, shown
 
 
 def cell_aggregates(spark: SparkSession, root: str, value: str | None = None) -> DataFrame:
@@ -89,7 +89,7 @@ def _layer(spark: SparkSession, root: str) -> DataFrame:
     if columns is not None:
         parts = [T.StructField(name, T.IntegerType()) for name in DAY_PARTS]
         reader = reader.schema(T.StructType([*columns.fields, *parts]))
-    return reader.parquet(root)
+    return shown(reader.parquet(root), columns)
 
 
 def _parts(layer: DataFrame) -> Sequence[str]:
