@@ -51,9 +51,11 @@ OBS_RAW_SQL = _OBS_RAW.format(
     text="varchar", stamp="strftime(ts, '%Y-%m-%dT%H:%M:%S')", events="events"
 )
 
+# The last two of four characters, zeros put before a shorter text; what is no digit shifts what follows.
+_HOUR_TWO = "right('00' || left({0}, 4), 2)"
 HOUR_SQL = (
-    "substr(regexp_replace(rpad(substr(lpad({0}, 4, '0'), 3, 4), 6, '0'), "
-    "'(\\d\\d)', '\\1:', 'g'), 1, 8)"
+    f"({_HOUR_TWO} || case when regexp_matches({_HOUR_TWO}, '^[0-9][0-9]$') then ':00:00' "
+    f"when regexp_matches({_HOUR_TWO}, '[0-9]$') then '0:00:0' else '00:00:' end)"
 )
 _WHOLE_SQL = "try_cast(regexp_extract(trim({0}), '^([+-]?[0-9]+)([.][0-9]*)?$', 1) as {1})"
 
