@@ -72,6 +72,22 @@ def answered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quotes.linked(table(spark, sf_dir, "conversations"))
 
 
+# Every third message quotes the first line of the one before it, two marks deep every ninth.
+_QUOTING = """select conv_id, turn, role, case
+      when (conv_id + turn) % 9 = 0 and before <> '' then concat('> > ', before, {end}, coalesce(text, ''))
+      when (conv_id + turn) % 3 = 0 and before <> '' then concat('> ', before, {end}, coalesce(text, ''))
+      else text end as text
+    from (select *, {line} as before
+      from (select *, lag(text) over (partition by conv_id order by turn) as previous from {said}) p) q"""
+
+
+def answered_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The conversations with quotations put in by rule."""
+    line = "split_part(coalesce(previous, ''), '\\n', 1)"
+    said = table(spark, sf_dir, "conversations")
+    return quotes.linked(spark.sql(_QUOTING.format(end="'\\n'", line=line, said="{said}"), said=said))
+
+
 def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return convnet.score(docs, convnet.train(docs, table(spark, sf_dir, "labels")))
@@ -106,6 +122,7 @@ QUERIES: dict[str, Query] = {
     "op6_jaccard_join": similar,
     "op7_licence_scan": licensed,
     "op8_quote_linking": answered,
+    "op8_quotes_put_in": answered_quotes,
     "op9_quality_classifier": quality,
     "op10_substring_dedup": unrepeated,
     "op11_alignment": aligned,
@@ -117,6 +134,10 @@ SQL: dict[str, str] = {
     "op4_quality_rules": rules.judge_sql(),
     "op7_licence_scan": licences.scan_sql(f"select doc_id, {_PATH} as path, text from documents"),
     "op8_quote_linking": quotes.linked_sql(),
+    "op8_quotes_put_in": quotes.linked_sql(
+        "(" + _QUOTING.format(
+            end="chr(10)", line="split_part(coalesce(previous, ''), chr(10), 1)", said="conversations") + ")"
+    ),
     "op12_pii": pii.find_sql(),
     "op13_prefix_trie": prefixes.tree_sql(),
 }

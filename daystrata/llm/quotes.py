@@ -114,7 +114,20 @@ def _by_pieces(loose: DataFrame, sources: DataFrame) -> DataFrame:
         F.posexplode(F.concat(F.array("paragraph"), F.col("lines"))).alias("i", "piece"),
     ).withColumn("hash", F.sha2("piece", 256))
     held = sources.select("conv_id", F.col("turn").alias("source"), "hash").distinct()
-    pairs = pieces.join(held, ["conv_id", "hash"]).where("source < turn")
+    # A message that holds the quote holds each paragraph, as one or by all lines. Those that may hold the
+    # paragraph which fewest do are looked up first, and the other pieces are asked of them alone.
+    spread = held.groupBy("conv_id", "hash").agg(F.count("*").alias("holders"))
+    rare = pieces.join(spread, ["conv_id", "hash"], "left").withColumn("holders", F.coalesce("holders", F.lit(0)))
+    as_one, by_lines = F.col("i") == 0, F.col("i") > 0
+    keys = rare.groupBy(*one, "place").agg(
+        F.max(F.when(as_one, F.struct("holders", "hash"))).alias("p"),
+        F.min(F.when(by_lines, F.struct("holders", "hash"))).alias("l"),
+    )
+    cost = (F.col("p.holders") + F.col("l.holders")).alias("cost")
+    rarest = keys.groupBy(*one).agg(F.min(F.struct(cost, "place", "p.hash", F.col("l.hash").alias("line"))).alias("r"))
+    asked = rarest.select(*one, F.explode(F.array_distinct(F.array("r.hash", "r.line"))).alias("hash"))
+    maybe = asked.join(held, ["conv_id", "hash"]).where("source < turn").select(*one, "source").distinct()
+    pairs = pieces.join(maybe, one).join(held, ["conv_id", "source", "hash"])
     wholly = pairs.groupBy(*one, "n", "n_paragraphs", "n_lines", "place", "source").agg(
         F.min("i").alias("least"), F.count_if(F.col("i") > 0).alias("n_held")
     ).where("least = 0 or n_held = n_lines")
@@ -170,13 +183,13 @@ def conversations(messages: DataFrame) -> DataFrame:
     return rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(said)).alias("messages"))
 
 
-def linked_sql() -> str:
-    """The same in DuckDB, over ``conversations``, but for quotes found only by their pieces."""
+def linked_sql(messages: str = "conversations") -> str:
+    """The same in DuckDB, over a table or subquery, but for quotes found only by their pieces."""
     marks = "^(?:[ \\t]*>)+[ ]?"
     fold = "trim(regexp_replace(lower({0}), '[ \\t\\n\\x0B\\f\\r]+', ' ', 'g'))"
     return f"""
     with recursive base as (select row_number() over () as r, conv_id, turn, role,
-        string_split(coalesce(text, ''), chr(10)) as lines from conversations),
+        string_split(coalesce(text, ''), chr(10)) as lines from {messages}),
     lined as (select r, conv_id, turn, unnest(lines) as line,
         unnest(range(len(lines))) as i from base),
     deep as (select r, conv_id, turn, i, length(translate(regexp_extract(line, '{marks}'), ' ' || chr(9), ''))

@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import random
+import time
 import zlib
 
 import duckdb
@@ -18,7 +19,6 @@ from daystrata.llm import (
     bpe,
     convnet,
     fingerprints,
-    licences,
     packing,
     paths,
     queries,
@@ -139,6 +139,36 @@ def test_packing_loses_no_token(docs, odd):
     assert packing.pack(odd.where("false"), BYTE_BPE).count() == 0
 
 
+@pytest.mark.parametrize("pool", [8, 4096])
+def test_tiers_and_step_groups(pool):
+    """Sequences of one context and equal token counts form a group; only the last one pads."""
+    rng, sizes, step = random.Random(4), packing.CONTEXTS, packing.STEP_TOKENS
+    packer = packing.Packer(sizes, step, pool, 7 << 36)
+    docs = [np.arange(rng.choice([1, 5, 63, 64, 65, 700, 2048, 5000]) + rng.randrange(40), dtype="<u4") for _ in range(400)]
+    pieces = [p for i, tokens in enumerate(docs) for p in packer.add(i, tokens)] + list(packer.close())
+    lengths, contexts, groups = collections.Counter(), {}, collections.defaultdict(set)
+    for _, _, tokens, _, sequence, offset, context, group in pieces:
+        assert offset == lengths[sequence] and sequence >> 36 == 7 and group >> 36 == 7
+        lengths[sequence] += len(tokens)
+        assert contexts.setdefault(sequence, context) == context
+        groups[group].add(sequence)
+    assert sum(lengths.values()) == sum(map(len, docs))
+    short = [s for s, n in lengths.items() if n != contexts[s]]
+    assert all(lengths[s] <= contexts[s] == min(x for x in sizes if x >= lengths[s]) for s in lengths) and len(short) <= 1
+    open_ = collections.Counter()
+    for mine in groups.values():
+        (context,) = {contexts[s] for s in mine}
+        assert len(mine) * context <= step
+        open_[context] += len(mine) * context < step
+    assert sum(map(len, groups.values())) == len(lengths) and all(n <= 1 for n in open_.values())
+    # A document's remainder goes to the smallest context that holds it, unless it fills a longer one's gap.
+    alone = packing.Packer(sizes, step, pool, 0)
+    for n, context in ((60, 64), (65, 128), (2000, 2048)):
+        list(alone.add(0, np.zeros(n, "<u4")))
+        assert [len(tier) for tier in alone.tiers] == [int(size == context) for size in sizes]
+        alone = packing.Packer(sizes, step, pool, 0)
+
+
 def test_toxic_segments_are_maximal():
     def by_definition(scores, low, high):
         best = None
@@ -289,32 +319,6 @@ def test_repeats(docs, odd, group):
     assert repeats.cut(odd).columns == odd.columns
 
 
-def test_licences(spark):
-    rows = [
-        (1, "a/b/c.txt", "x"), (2, "a/LICENSE", "Licensed under the Apache License, Version 2.0"),
-        (3, "a/b/LICENSE", "Released under the MIT License."), (4, "z.txt", None),
-        (5, None, "MIT License"), (6, "a/d/e/f.py", "# Licensed under CC BY-NC 4.0.\ncode"),
-        (6, "a/d/e/f.py", "# Licensed under CC BY-NC 4.0.\ncode"), (7, "/x", "q"), (8, "LICENSE", ""),
-    ]
-    files = spark.createDataFrame(rows, "doc_id bigint, path string, text string")
-    found = {r["doc_id"]: r for r in licences.scan(files).collect()}
-    assert [found[i]["licence"] for i in (1, 2, 3, 6)] == ["MIT", "Apache-2.0", "MIT", "CC-BY-NC-4.0"]
-    assert found[4]["licence"] is None and found[1]["inherited_from"] == "a/b/"
-    con = duckdb.connect()
-    table = files.toArrow()
-    con.register("t", table)
-    assert oracle.compare(licences.scan(files), licences.scan_sql("select * from t"), con) == len(rows)
-    assert licences.scan(files.where("false")).count() == 0
-
-
-def test_no_notice_without_a_needed_word():
-    """What the substring test leaves out could not have reached the threshold."""
-    needed = set(licences.needed(licences.TEMPLATES, licences.THRESHOLD))
-    for name in licences.TEMPLATES:
-        rest = [x for t, w, x in licences.vectors(licences.TEMPLATES) if t == name and w not in needed]
-        assert sum(x * x for x in rest) < licences.THRESHOLD**2
-
-
 def test_quotes(spark):
     rows = [
         (1, 0, "user", "Hello there\nHow are you?\n\nSecond  para"),
@@ -357,3 +361,22 @@ def test_quotes_of_parts_of_a_message(spark):
     assert [at[1, i]["n_linked"] for i in range(9)] == [0, 0, 1, 2, 0, 2, 2, 0, 1]
     assert [at[1, i]["thread"] for i in (2, 3, 4, 5, 8)] == [0, 0, 4, 0, 7]
     assert at[2, 0]["reply_to"] is None and at[1, 5]["n_quotes"] == 3
+
+
+def test_quotes_with_a_common_line(spark):
+    """Each message quotes a line that all hold and one of its own: the work must not go by their product."""
+    n = 1500
+    rows = [(1, 0, "u", "line 0\nyes\nno")] + [
+        (1, i, "u", f"> line {i - 1}\n> yes\nsays\n\nline {i}\nyes\nno") for i in range(1, n)
+    ]
+    said = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    start = time.perf_counter()
+    found = {r["turn"]: r["reply_to"] for r in quotes.linked(said).collect()}
+    assert time.perf_counter() - start < 120
+    assert found == {0: None, **{i: i - 1 for i in range(1, n)}}
+
+
+def test_quotes_put_in_by_rule_are_linked(spark):
+    found = queries.QUERIES["op8_quotes_put_in"](spark, "/root/testdata/sf0.01")
+    assert found.where("n_linked > 0 and reply_to is not null").count() > 20
+    assert found.where("depth = 2").count() > 5
