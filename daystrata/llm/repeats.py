@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from daystrata.llm.words import (
     doc_id_of,
+    joined_apart,
     keyed_texts,
     mixed,
     packed_texts,
@@ -43,8 +44,6 @@ WINDOW, GRAM = 35, 8
 GROUP = 256
 #: Places whose subtrees are sorted at a time.
 _AT_ONCE = 8192
-#: A key with one of so many parts of all rows is joined apart.
-_HOT = 200
 #: Bytes kept of a word's hash; passages are equal when all their words are.
 _SYMBOL = 5
 
@@ -112,7 +111,7 @@ def repeated(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, group: int
     )
     places = placed.select(*_KEYS, F.explode("grams").alias("gram"))
     counted = checkpointed(places.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1"))
-    shared = _with_counts(places, counted, "gram").groupBy(*_KEYS)
+    shared = joined_apart(places, counted, "gram").groupBy(*_KEYS)
     hot = F.col("n") > group
     wanted = checkpointed(
         shared.agg(
@@ -127,20 +126,6 @@ def repeated(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, group: int
     return bits.groupBy(*_KEYS).agg(F.collect_list(F.struct("first", "bits")).alias("found"))
 
 
-def _with_counts(rows: DataFrame, found: DataFrame, key: str) -> DataFrame:
-    """``rows`` joined to ``found`` on the key, ``found`` having one row per key and its number ``n`` of rows.
-
-    A key that many rows share would send them all to one task. At most ``_HOT`` keys can hold that share
-    of the rows; only these are broadcast, and what remains of the rows joins as usual.
-    """
-    total = found.agg(F.sum("n")).first()[0] or 0
-    hot = F.col("n") * _HOT >= total
-    few = F.broadcast(found.where(hot))
-    apart = rows.join(few, key)
-    rest = rows.join(few.select(key), key, "left_anti").join(found.where(~hot), key)
-    return apart.unionByName(rest)
-
-
 def _spans(batch, column: int, window: int, gram: int):
     """Row, word hashes and wanted spans ``(gram, first, last)`` of a batch's documents."""
     wanted = batch.column(column)
@@ -264,8 +249,11 @@ def _long_prefixes(searched: DataFrame, window: int, gram: int) -> DataFrame:
                     names=[*_KEYS, "first", "run", "labels"],
                 )
 
-    rows = searched.where(F.size("hot") > 0).mapInArrow(
-        runs, "doc_key bigint, text_key bigint, first int, run bigint, labels array<bigint>"
+    # Each action of its own would shuffle the texts again.
+    rows = checkpointed(
+        searched.where(F.size("hot") > 0).mapInArrow(
+            runs, "doc_key bigint, text_key bigint, first int, run bigint, labels array<bigint>"
+        )
     )
     different = checkpointed(rows.groupBy("run").agg(F.count("*").alias("n"), F.first("labels").alias("labels")))
     windows = different.select("run", "n", F.posexplode("labels").alias("k", "label"))
@@ -276,8 +264,7 @@ def _long_prefixes(searched: DataFrame, window: int, gram: int) -> DataFrame:
     every = F.expr("shiftleft(1L, size(labels)) - 1")
     settled = different.where("n > 1").select("run", every.alias("bits"), "n")
     bits = checkpointed(settled.unionAll(found))
-    named = checkpointed(rows.select(*_KEYS, "first", "run"))
-    return _with_counts(named, bits, "run").select(*_KEYS, "first", "bits")
+    return joined_apart(rows.select(*_KEYS, "first", "run"), bits, "run").select(*_KEYS, "first", "bits")
 
 
 def remove(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, group: int = GROUP) -> DataFrame:

@@ -15,6 +15,9 @@ MEMO_ENTRIES = 150_000
 #: The same for words' token ids, which cost more to find.
 CODED_ENTRIES = 900_000
 
+#: A key with one of so many parts of all rows is joined apart.
+HOT = 200
+
 _HASHES: dict[bytes, int] = {}
 _NO_ID = -(1 << 63)
 
@@ -83,6 +86,20 @@ def doc_id_of(key: str) -> Column:
     return F.when(F.col(key) != _NO_ID, F.col(key)).alias("doc_id")
 
 
+def joined_apart(rows: DataFrame, found: DataFrame, key: str) -> DataFrame:
+    """``rows`` joined to ``found`` on the key, ``found`` having one row per key and ``n``, its number of rows.
+
+    A key that many rows share would send them all to one task. At most ``HOT`` keys can hold that share
+    of the rows; only these are broadcast, and what remains of the rows joins as usual. Reads ``found`` at once.
+    """
+    total = found.agg(F.sum("n")).first()[0] or 0
+    hot = F.col("n") * HOT >= total
+    few = F.broadcast(found.where(hot))
+    apart = rows.join(few, key)
+    rest = rows.join(few.select(key), key, "left_anti").join(found.where(~hot), key)
+    return apart.unionByName(rest)
+
+
 def unused(name: str, columns: list[str]) -> str:
     """A name like this one that none of the columns has."""
     taken = {column.lower() for column in columns}
