@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from daystrata.llm.words import (
     doc_id_of,
+    joined_apart,
     keyed_texts,
     mixed,
     raw_texts,
@@ -135,8 +136,8 @@ def _compared(buckets: DataFrame) -> DataFrame:
             pairs = set()
             for members in batch.column(0):
                 nodes = [m["node"].as_py() for m in members]
-                marks = b"".join(m["tokens"].as_py() for m in members)
-                values = np.frombuffer(marks, "<u4").reshape(len(nodes), TOKENS)
+                marks = b"".join(m["marks"].as_py() for m in members)
+                values = np.frombuffer(marks, "u1").reshape(len(nodes), TOKENS)
                 alike = (values[:, None] == values[None]).sum(2) >= least
                 pairs.update(_forest(nodes, alike))
             yield pa.RecordBatch.from_arrays(
@@ -165,15 +166,17 @@ def _forest(nodes: list[bytes], linked: np.ndarray) -> list[tuple[bytes, bytes]]
 def _centred(large: DataFrame, classes: DataFrame) -> DataFrame:
     """``(path, node, centre, alike)``: each member of a large bucket against one member picked by hash,
     and the share of their tokens that agree."""
-    marked = large.join(classes, "node").select("path", "node", "tokens")
-    pick = F.min_by(F.struct("node", "tokens"), F.xxhash64("path", "node"))
-    centres = marked.groupBy("path").agg(pick.alias("c"))
-    centres = centres.select("path", F.col("c.node").alias("centre"), F.col("c.tokens").alias("marks"))
+    marked = checkpointed(large.join(classes, "node").select("path", "node", "marks"))
+    pick = F.min_by(F.struct("node", "marks"), F.xxhash64("path", "node"))
+    centres = marked.groupBy("path").agg(pick.alias("c"), F.count("*").alias("n"))
+    centres = checkpointed(
+        centres.select("path", F.col("c.node").alias("centre"), F.col("c.marks").alias("central"), "n")
+    )
 
     def run(batches):
         for batch in batches:
             sides = [
-                np.frombuffer(b"".join(batch.column(k).to_pylist()), "<u4").reshape(-1, TOKENS)
+                np.frombuffer(b"".join(batch.column(k).to_pylist()), "u1").reshape(-1, TOKENS)
                 for k in (2, 4)
             ]
             alike = (sides[0] == sides[1]).mean(1)
@@ -182,9 +185,9 @@ def _centred(large: DataFrame, classes: DataFrame) -> DataFrame:
                 names=["path", "node", "centre", "alike"],
             )
 
-    return marked.join(centres, "path").mapInArrow(
-        run, "path bigint, node binary, centre binary, alike double"
-    )
+    # A path that a third of all classes are on has one centre for all of them.
+    joined = joined_apart(marked, centres, "path").select("path", "node", "marks", "centre", "central")
+    return joined.mapInArrow(run, "path bigint, node binary, centre binary, alike double")
 
 
 def missed(runs: int, similar: float = SIMILAR[0] / SIMILAR[1]) -> float:
@@ -218,6 +221,9 @@ def candidates(classes: DataFrame, recall: float = RECALL) -> DataFrame:
     leave the bucket, as whatever links with them is alike to it too; the others are split further.
     """
     similar = SIMILAR[0] / SIMILAR[1]
+    # A byte of each token tells members of a bucket apart: others agree in it by one chance in 256.
+    marks = F.unhex(F.regexp_replace(F.hex("tokens"), "(..)......", "$1"))
+    marked = classes.select("node", marks.alias("marks"))
     # On average one shared token of a linked pair is followed in a run.
     rows = _followed(classes, runs_for(recall), 1 / similar).distinct()
     edges = None
@@ -225,8 +231,8 @@ def candidates(classes: DataFrame, recall: float = RECALL) -> DataFrame:
         rows = checkpointed(rows)
         sizes = rows.groupBy("path").agg(F.count("*").alias("n")).where("n > 1")
         shared = checkpointed(rows.join(sizes, "path"))
-        small = shared.where(F.col("n") <= BUCKET).join(classes, "node")
-        buckets = small.groupBy("path").agg(F.collect_list(F.struct("node", "tokens")).alias("m"))
+        small = shared.where(F.col("n") <= BUCKET).join(marked, "node")
+        buckets = small.groupBy("path").agg(F.collect_list(F.struct("node", "marks")).alias("m"))
         found = _compared(buckets.select("m"))
         edges = found if edges is None else edges.unionAll(found)
         large = shared.where(F.col("n") > BUCKET).select("path", "node")
@@ -235,7 +241,7 @@ def candidates(classes: DataFrame, recall: float = RECALL) -> DataFrame:
             centre = large.groupBy("path").agg(F.min("node").alias("b"))
             joined = large.join(centre, "path").where("node <> b")
             return edges.unionAll(joined.select(F.col("node").alias("a"), "b")).distinct()
-        centred = checkpointed(_centred(large, classes))
+        centred = checkpointed(_centred(large, marked))
         near = centred.where(F.col("alike") >= similar - SLACK).where("node <> centre")
         edges = edges.unionAll(near.select(F.col("node").alias("a"), F.col("centre").alias("b")))
         rest = centred.where(F.col("alike") < RETIRED).select("path", "node")
