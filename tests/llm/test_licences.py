@@ -1,0 +1,165 @@
+"""Licences in trees of files as users have them, against SQL and a plain version."""
+
+import collections
+import math
+import re
+
+import duckdb
+import oracle
+import pytest
+
+from daystrata.llm import licences, queries
+
+#: Code enough that its file is no notice as a whole.
+BODY = "".join(f"set name{i} value{i}\n" for i in range(60))
+MIT = """MIT License
+
+Copyright (c) 2024 Somebody
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.
+"""
+APACHE = """/*
+ * Licensed to one or more contributors. Copyright 2020.
+ *
+ * Licensed under the Apache License, Version 2.0 (the "License");
+ * you may not use this file except in compliance with the License.
+ * You may obtain a copy of the License at
+ * http://www.apache.org/licenses/LICENSE-2.0
+ *
+ * Unless required by applicable law or agreed to in writing, software
+ * distributed under the License is distributed on an "AS IS" BASIS.
+ */
+package a;
+class B {}
+"""
+GPL = """#!/bin/sh
+# run it
+#
+# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation, either version 3 of the License, or
+# (at your option) any later version.
+#
+""" + BODY
+MPL = """-- This Source Code Form is subject to the terms of the Mozilla Public
+-- License, v. 2.0. If a copy of the MPL was not distributed with this
+-- file, You can obtain one at https://mozilla.org/MPL/2.0/.
+""" + BODY
+BSD = """Copyright (c) 2024. All rights reserved.
+
+Redistributions in binary form must keep this list.
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+CODE = "def run(software, use, copy):\n    return 'the license of this file is not the version'\n"
+PROSE = "The general public may use this file.\n\nA work in the terms of any person is free to copy.\n"
+ROWS = [
+    (1, "app/LICENSE", MIT), (2, "app/src/main.py", CODE), (3, "app/src/deep/er/x.py", "x = 1\n"),
+    (4, "app/vendor/LICENSE.txt", APACHE), (5, "app/vendor/lib.c", CODE), (6, "app/vendor/own.c", "// SPDX-License-Identifier: MIT\nint x;"),
+    (7, "tools/run.sh", GPL), (8, "tools/other.sh", "echo\n"), (9, "sql/q.sql", MPL), (10, "sql/other.sql", PROSE),
+    (11, "bsd/COPYING", BSD), (12, "bsd/x.c", "int y;"), (13, "tags/a.rs", "// SPDX-License-Identifier: Apache-2.0"),
+    (14, "tags/b.rs", "/* SPDX-License-Identifier: GPL-3.0-or-later */"), (15, None, "Released under the MIT License."),
+    (16, "notes/readme.md", PROSE * 30), (17, "app/license-header.txt", ""), (18, "", None), (None, "app/z", ""),
+    (6, "app/vendor/own.c", "// SPDX-License-Identifier: MIT\nint x;"), (19, "/x", "Licensed under CC BY-NC 4.0."),
+    (20, "/y", "Licensed under CC BY 4.0"), (21, "long/x", "word " * 30000 + "\nReleased under the MIT License\n"),
+    (22, "two/LICENSE", MIT + "\n" + GPL), (23, "two/x", "Licence of nothing"),
+]
+
+
+@pytest.fixture(scope="module")
+def files(spark):
+    rows = [(*row, "k", 1) for row in ROWS]
+    return spark.createDataFrame(rows, "doc_id bigint, path string, text string, a string, place int")
+
+
+def test_tree(files):
+    found = collections.defaultdict(set)
+    for r in licences.scan(files).collect():
+        found[r["doc_id"]].add((r["own"], r["inherited"], r["inherited_from"], r["licence"]))
+    found = {k: v.pop() for k, v in found.items() if len(v) == 1}
+    assert found[1] == ("MIT", "MIT", "app/", "MIT")
+    assert found[2] == (None, "MIT", "app/", "MIT") and found[3] == (None, "MIT", "app/", "MIT")
+    assert found[4][0] == "Apache-2.0" and found[5] == (None, "Apache-2.0", "app/vendor/", "Apache-2.0")
+    assert found[6] == ("MIT", "Apache-2.0", "app/vendor/", "MIT")
+    assert found[7][0] == "GPL-3.0" and found[8] == (None, None, None, None)
+    assert found[9][0] == "MPL-2.0" and found[10] == (None, None, None, None)
+    assert found[11][0] == "BSD-3-Clause" and found[12] == (None, "BSD-3-Clause", "bsd/", "BSD-3-Clause")
+    assert found[13][0] == "Apache-2.0" and found[14][0] == "GPL-3.0" and found[15] == ("MIT", None, None, "MIT")
+    assert found[16] == found[18] == (None, None, None, None) and found[17][3] == "MIT" and found[None][3] == "MIT"
+    assert found[19][0] == "CC-BY-NC-4.0" and found[20][0] == "CC-BY-4.0" and found[21][0] == "MIT"
+    assert found[23][1] in ("MIT", "GPL-3.0")
+    assert licences.scan(files.where("false")).count() == 0
+
+
+def test_equals_its_sql(spark, files):
+    con = duckdb.connect()
+    table = files.select("doc_id", "path", "text").toArrow()
+    con.register("t", table)
+    assert oracle.compare(licences.scan(files), licences.scan_sql("select * from t"), con) == len(ROWS)
+    none = files.where("false").select("doc_id", "path", "text").toArrow()
+    con.register("u", none)
+    assert con.sql(licences.scan_sql("select * from u")).fetchall() == []
+
+
+def test_scores_by_definition(files):
+    texts = [text or "" for _, _, text in ROWS]
+    counts = collections.Counter(w for text in texts for w in set(licences.words_of(text)))
+    n = len(texts)
+    vocabulary = {w for _, text in licences.TEMPLATES for w in licences.words_of(text)}
+
+    def vector(text):
+        raw = collections.Counter(licences.words_of(text))
+        idf = {w: math.log((1 + n) / (1 + (counts[w] if w in vocabulary else 0))) + 1 for w in raw}
+        return {w: k * idf[w] for w, k in raw.items()}
+
+    def cosine(a, b):
+        lengths = math.sqrt(sum(x * x for x in a.values()) * sum(x * x for x in b.values()))
+        return sum(x * b.get(w, 0) for w, x in a.items()) / lengths if lengths else 0
+
+    known = [(name, vector(text)) for name, text in licences.TEMPLATES]
+    best = {}
+    for doc_id, _, text in ROWS:
+        text = (text or "").lower()
+        blocks = re.split(r"\n(?:[^\w\n]*\n)+", text)
+        pieces = [(0, i, x) for i, x in enumerate(text.split("\n"))]
+        pieces += [(1, i, x) for i, x in enumerate(blocks) if "\n" in x] + [(2, 0, text)]
+        scores = [(-round(cosine(vector(x), v), 6), kind, i, name) for kind, i, x in pieces for name, v in known]
+        top = min(scores)
+        best[doc_id] = (top[3], -top[0], top[1], top[2]) if -top[0] >= licences.THRESHOLD else (None,) * 4
+    for r in licences.scan(files).collect():
+        assert (r["own"], r["score"], r["part"], r["place"]) == best[r["doc_id"]]
+
+
+def test_nothing_left_out_could_reach_the_threshold():
+    vocabulary = {w for _, text in licences.TEMPLATES for w in licences.words_of(text)}
+    for counts in ({}, {"license": 900, "the": 1000, "software": 40}):
+        idf, _ = licences.weights({w: counts.get(w, 0) for w in vocabulary}, 1000)
+        known = licences.vectors(licences.TEMPLATES, idf)
+        needed = set(licences.needed(known, licences.THRESHOLD, counts))
+        assert "the" not in needed or not counts
+        assert all(sum(x * x for w, x in v.items() if w not in needed) < licences.THRESHOLD**2 for v in known)
+
+
+def test_no_python_on_the_executors(files):
+    plan = licences.scan(files)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_query(spark):
+    sf = "/root/testdata/sf0.001"
+    found = queries.QUERIES["op7_licence_scan"](spark, sf)
+    assert oracle.compare(found, queries.SQL["op7_licence_scan"], oracle.connection(sf)) > 0
