@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daystrata.llm.words import coder, in_batches, shipped, string_texts, text_of
+from daystrata.llm.words import coder, in_batches, shipped, slices, string_texts, text_of
 
 #: Context sizes, shortest first; sequences of these lengths need no padding.
 CONTEXTS = (64, 128, 256, 512, 1024, 2048)
@@ -80,9 +80,10 @@ def pack(
 
         def rows():
             code = coder(tokenizer, True)
-            for batch in batches:
-                ids = batch.column(0).to_pylist()
-                for doc_id, text in zip(ids, string_texts(batch)):
+            for batch in slices(batches):
+                ids, texts = batch.column(0).to_pylist(), string_texts(batch)
+                code.learn(texts)
+                for doc_id, text in zip(ids, texts):
                     tokens = np.append(code.ids(text), [end_id]).astype("<u4")
                     yield from packer.add(doc_id, tokens)
             yield from packer.close()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,8 +13,10 @@ from pyspark.sql import functions as F
 
 #: Entries that a worker's memo holds before it starts afresh; bounds its memory.
 MEMO_ENTRIES = 150_000
-#: The same for words' token ids, which cost more to find.
-CODED_ENTRIES = 900_000
+#: Bytes of words and token ids, with what Python needs around them, that a coder holds before it starts
+#: afresh.
+CODED_BYTES = 128 << 20
+_ENTRY_BYTES = 200
 
 #: A key with one of so many parts of all rows is joined apart.
 HOT = 200
@@ -176,15 +179,18 @@ class WordCoder:
         self.bytelevel = bytelevel
         self.dtype = "<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4"
         self.size = int(self.dtype[-1])
+        self.code = "H" if self.size == 2 else "I"
         # Whole documents of ids stand beside the memo where words are encoded for joining.
-        self.entries = CODED_ENTRIES if bytelevel else CODED_ENTRIES // 2
+        self.limit = CODED_BYTES if bytelevel else CODED_BYTES // 2
+        self.held = 0
+        self._spaced: np.ndarray | None = None
         self._first: dict[str, bytes] = {}
         self._later: dict[str, bytes] = {}
         self._line_end = self._exact(["\n"])[0]
 
     def _exact(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, self.dtype).tobytes() for x in found]
+        return [array(self.code, x.ids).tobytes() for x in found]
 
     def ids(self, text: str) -> np.ndarray:
         """What the library gives for the whole text without added special tokens."""
@@ -199,6 +205,10 @@ class WordCoder:
         first = self._known(self._first, words[:1], False)
         return b"".join(first + self._known(self._later, words[1:], True))
 
+    def whole(self, text: str) -> bytes:
+        """The library's ids of a text taken as one, whatever is known of its words."""
+        return self._exact([text])[0]
+
     def counts(self, words: list[str]) -> list[int]:
         """Ids per word, for words that stand alone."""
         return [len(x) // self.size for x in self._known(self._first, words, False)]
@@ -213,22 +223,67 @@ class WordCoder:
                 units.append(" " + part if i else part)
         return units
 
+    def learn(self, texts: list[str]) -> None:
+        """Finds the ids of all words of some texts that are not known yet, in one library call."""
+        first: set[str] = set()
+        later: set[str] = set()
+        for text in texts:
+            if not self.bytelevel:
+                first.update(text.replace("\n", " ").split(" "))
+            elif self._doubled.search(text):
+                first.update(self._units(text))
+            else:
+                words = text.replace("\n", " \n").split(" ")
+                first.add(words[0])
+                later.update(words[1:])
+        self._forget()
+        self._add(self._first, first.difference(self._first), False)
+        self._add(self._later, later.difference(self._later), True)
+
     def _known(self, memo: dict[str, bytes], words: list[str], spaced: bool) -> list[bytes]:
         """``spaced``: each word stands behind a space, or begins with the line end before it."""
         try:
             return [memo[word] for word in words]
         except KeyError:
-            if len(memo) > self.entries:
-                memo.clear()
-            new = list(set(words).difference(memo))
-            if not spaced:
-                memo.update(zip(new, self._exact(new)))
-                return [memo[word] for word in words]
+            self._forget()
+            self._add(memo, set(words).difference(memo), spaced)
+            return [memo[word] for word in words]
+
+    def _forget(self) -> None:
+        if self.held > self.limit:
+            self._first.clear()
+            self._later.clear()
+            self.held = 0
+
+    def _add(self, memo: dict[str, bytes], words: set[str], spaced: bool) -> None:
+        held = len(memo)
+        new = list(words)
+        if spaced:
+            plain = [w for w in new if w and w[0] != "\n" and "<|" not in w]
+            self._add_joined(memo, plain)
+            new = list(words.difference(memo))
             ended = [word[:1] == "\n" for word in new]
             exact = self._exact([w[1:] if end else " " + w for w, end in zip(new, ended)])
-            for word, end, ids in zip(new, ended, exact):
-                memo[word] = self._line_end + ids if end else ids
-            return [memo[word] for word in words]
+            exact = [self._line_end + ids if end else ids for ids, end in zip(exact, ended)]
+        else:
+            exact = self._exact(new)
+        memo.update(zip(new, exact))
+        self.held += _ENTRY_BYTES * (len(memo) - held) + sum(map(len, words))
+
+    def _add_joined(self, memo: dict[str, bytes], words: list[str]) -> None:
+        """Encodes many words as one text, and cuts its ids where a token begins with a space, as none but the
+        first of each word does. Words of a text that gives another number of such tokens are left out."""
+        if self._spaced is None:
+            tokens = map(self.library.id_to_token, range(self.library.get_vocab_size()))
+            self._spaced = np.array([(token or "").startswith("Ġ") for token in tokens])
+        chunks = [words[at : at + 1000] for at in range(0, len(words), 1000)]
+        found = self.library.encode_batch_fast([" " + " ".join(c) for c in chunks], add_special_tokens=False)
+        for chunk, one in zip(chunks, found):
+            ids = np.array(one.ids, self.dtype)
+            starts = (np.flatnonzero(self._spaced[ids]) * self.size).tolist()
+            if len(starts) == len(chunk):
+                data = ids.tobytes()
+                memo.update(zip(chunk, map(data.__getitem__, map(slice, starts, [*starts[1:], len(data)]))))
 
 
 _CODERS: dict[tuple[str, bool], WordCoder] = {}
