@@ -137,7 +137,8 @@ class Joiner:
             left, right = self.before[-reach:], after[:reach]
             old = sum(self.counts[-reach:]) * self.size if left else 0
             new = sum(after_counts[:reach]) * self.size if right else 0
-            window = self.code.packed(" ".join([*left, word, *right]))
+            # As one text: only the library itself can tell whether words look at each other.
+            window = self.code.whole(" ".join([*left, word, *right]))
             if window[:old] == done[len(done) - old :] and window[len(window) - new :] == ids[:new]:
                 self.parts.append(window[old : len(window) - new])
                 return
@@ -158,9 +159,7 @@ def _shared(keyed: DataFrame) -> tuple[DataFrame, DataFrame]:
                 names=[*_KEYS, "names"],
             )
 
-    named = keyed.mapInArrow(
-        name_all, "doc_key bigint, text_key bigint, names array<binary>"
-    )
+    named = checkpointed(keyed.mapInArrow(name_all, "doc_key bigint, text_key bigint, names array<binary>"))
     places = named.select(*_KEYS, F.explode("names").alias("name"))
     owner = F.min(F.struct(*_KEYS)).alias("owner")
     common = places.groupBy("name").agg(F.count("*").alias("n"), owner).where("n > 1")
