@@ -54,6 +54,10 @@ def passages(hashes: np.ndarray, window: int, gram: int, piece: int = 1 << 23):
     """``(grams, first, last)``: the splitting grams of a document's windows, in order, each with the
     first and last window that it splits off.
 
+    Where words go round (one word over and over), a gram follows upon itself at every turn. Behind the
+    first such place, which ends what differs before it, its windows are taken together, as many at a time as
+    one place can have; so a span with equal windows within it always has another of its gram beside it.
+
     Places share a word with the hash, so windows are taken ``piece`` at a time, which cuts spans but
     changes no window's gram.
     """
@@ -75,10 +79,25 @@ def passages(hashes: np.ndarray, window: int, gram: int, piece: int = 1 << 23):
         least = np.minimum(least[:count], least[width - span : width - span + count])
         owner = (least & low).astype(np.int64)
         starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+        again = np.r_[False, some[owner[starts[1:]]] == some[owner[starts[:-1]]]]
+        if again.any():
+            starts = _joined(starts, again, count, width)
         parts.append((some[owner[starts]], begin + starts, begin + np.r_[starts[1:], count] - 1))
     return tuple(np.concatenate(column) for column in zip(*parts))
 
 
+def _joined(starts: np.ndarray, again: np.ndarray, count: int, width: int) -> np.ndarray:
+    """``starts`` of spans where those from the second of a gram in a row on make spans of ``width`` windows;
+    ``again`` says that a span has the gram of the one before it."""
+    second = again & ~np.r_[False, again[:-1]]
+    apart = starts[~again | second]
+    ends = np.r_[apart[1:], count]
+    # Spans that stand alone are no longer than ``width`` and get one start each.
+    more = -(-(ends - apart) // width)
+    turn = np.arange(more.sum()) - np.repeat(np.cumsum(more) - more, more)
+    return np.repeat(apart, more) + turn * width
+
+
 def _signed(values: np.ndarray) -> np.ndarray:
     return values.astype(np.uint64).view(np.int64)
 

@@ -142,3 +142,30 @@ def test_passages_in_pieces():
 
     whole = grams(1 << 23)
     assert len(whole) == 4000 - 34 and grams(100) == whole and grams(1) == whole
+
+
+def test_words_that_go_round():
+    """A gram that follows upon itself gives a span for many windows, not for each; none is lost."""
+    rng = np.random.default_rng(7)
+    for period in (1, 2, 3, 13, 28, 40):
+        turn, other = rng.integers(0, 1 << 60, (2, period)).astype(np.uint64)
+        hashes = np.r_[other, np.tile(turn, 700 // period), other]
+        for piece in (1 << 23, 100):
+            grams, first, last = repeats.passages(hashes, 35, 8, piece)
+            assert first[0] == 0 and last[-1] == len(hashes) - 35 and (first[1:] == last[:-1] + 1).all()
+            assert (last - first).max() < 28 and len(grams) < len(hashes) / 10
+            for gram, a, b in zip(grams, first, last):
+                held = {hashes[k : k + 35].tobytes() for k in range(a, b + 1)}
+                assert len(held) == b - a + 1 or (grams == gram).sum() > 1
+
+
+@pytest.mark.parametrize("group", [256, 2])
+def test_repeats_where_words_go_round(spark, group):
+    texts = [
+        "na " * 36, "ho " * 35, "a b " * 30, "x y z " * 40 + "end", "start " + "x y z " * 40, "go " * 3000,
+        "c " * 34 + "d " + "c " * 80, "e f " * 18 + "g", "e f " * 17 + "h", "i " * 64, "j " + "i " * 70 + "k",
+    ]
+    frame = spark.createDataFrame([(i, x, None, None, None) for i, x in enumerate(texts)], DOCUMENTS)
+    names = ("doc_id", "n_words", "n_removed", "kept_sha256")
+    got = repeats.remove(frame, group=group).select(*names).collect()
+    assert collections.Counter(map(tuple, got)) == without_repeats(list(enumerate(texts)))
