@@ -121,11 +121,27 @@ LANDING_DATE = r"landing=weather\.(\d{8})\.csv/"
 LANDED = {"name": "_metadata.file_path", "pattern": LANDING_DATE}
 
 
+# Landing files that a task holds open; only a task with more of them sorts its rows before it writes.
+OPEN_FILES = 100
+_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+
+
 def land_csv(df: DataFrame, root: str, stamp: str) -> str:
-    """Writes one landing file per value of the ``stamp`` column, large ones in several parts."""
+    """Writes one landing file per value of the ``stamp`` column, large ones in several parts.
+
+    Rows go to their files as they come: narrow rows take so much more room in a sort than in the shuffle
+    that a task would hold many times its part.
+    """
     name = F.concat(F.lit("weather."), F.col(stamp), F.lit(".csv")).alias("landing")
     named = df.select(*[c for c in df.columns if c != stamp], name).hint("rebalance", "landing")
-    named.write.partitionBy("landing").option("header", True).mode("append").csv(root)
+    conf = df.sparkSession.conf
+    before = conf.get(_WRITERS)
+    if before == "0":
+        conf.set(_WRITERS, OPEN_FILES)
+    try:
+        named.write.partitionBy("landing").option("header", True).mode("append").csv(root)
+    finally:
+        conf.set(_WRITERS, before)
     return root
 
 

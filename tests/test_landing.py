@@ -2,8 +2,10 @@ import datetime
 import os
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
+from daystrata.queries import inputs
 from daystrata.sources import list_files, read_any, read_landing_csv, with_file_date
 from daystrata.sources import files as files_module
 from daystrata.sources import landing as landing_module
@@ -224,3 +226,25 @@ def test_too_many_headers_are_an_error(spark, tmp_path, monkeypatch):
         (tmp_path / f"{number}.csv").write_text(f"x{number}\n1\n")
     with pytest.raises(ValueError, match="different headers"):
         read_landing_csv(spark, str(tmp_path), on_header_mismatch="by_name")
+
+
+def test_landing_files_are_written_without_a_sort(spark, tmp_path, monkeypatch):
+    """Rows go to open files, the session's setting comes back, and more landings than may be open lose no row."""
+    setting, seen = "spark.sql.maxConcurrentOutputFileWriters", []
+    write = DataFrameWriter.csv
+    monkeypatch.setattr(
+        DataFrameWriter, "csv", lambda self, *a, **k: (seen.append(int(spark.conf.get(setting))), write(self, *a, **k))
+    )
+    numbered = spark.range(1000, numPartitions=3).select(
+        F.col("id").cast("string").alias("id"), F.format_string("%08d", F.col("id") % 260).alias("stamp")
+    )
+    monkeypatch.setattr(inputs, "OPEN_FILES", 7)
+    root = inputs.land_csv(numbered, str(tmp_path / "landing"), "stamp")
+    assert seen == [7] and spark.conf.get(setting) == "0"
+    name = F.regexp_extract("_metadata.file_path", inputs.LANDING_DATE, 1)
+    found = read_landing_csv(spark, root, ["id"]).select("id", name.alias("stamp")).collect()
+    assert sorted(map(tuple, found)) == sorted((str(i), f"{i % 260:08d}") for i in range(1000))
+    with pytest.raises(Exception):
+        failing = F.raise_error(F.lit("no")).cast("string").alias("stamp")
+        inputs.land_csv(numbered.select("id", failing), f"{root}2", "stamp")
+    assert spark.conf.get(setting) == "0"
