@@ -37,6 +37,8 @@ from daystrata.sources.files import checkpointed
 LEAST, MOST, ABOUT = 512, 8192, 1536
 #: Whole words that a chunk's ends can lend to a join's window.
 EDGE_WORDS = 8
+#: Characters of chunks whose new words are encoded together.
+TOGETHER = 4 << 20
 
 _KEYS = ["doc_key", "text_key"]
 _ENCODED = "ids binary, ends string"
@@ -59,14 +61,15 @@ def cuts(data: np.ndarray, begin: int, end: int, marks: np.ndarray) -> list[int]
 
 
 def marks_of(data: np.ndarray) -> np.ndarray:
-    """Places where the rolling hash of the 32 bytes before allows a cut."""
-    table = np.random.default_rng(99).integers(0, 1 << 32, 256, np.uint64).astype(np.uint32)
+    """Places where the rolling hash of the bytes before allows a cut, 32 bytes from the start on."""
+    # A byte's part moves up by a bit a place: 16 places on, it has left the bits that are looked at.
+    table = np.random.default_rng(99).integers(0, 1 << 32, 256, np.uint64).astype(np.uint16)
     h = table[data]
-    for k in range(5):
+    for k in range(4):
         step = 1 << k
-        older = h[:-step] << np.uint32(step)
+        older = h[:-step] << np.uint16(step)
         h = h[step:] + older
-    return np.flatnonzero(h % np.uint32(ABOUT - LEAST) == 7) + 32
+    return np.flatnonzero(h[16:] % np.uint16(ABOUT - LEAST) == 7) + 32
 
 
 def chunks_of(texts: list[bytes]) -> list[list[bytes]]:
@@ -89,21 +92,50 @@ def name_of(chunk: bytes) -> bytes:
     return hashlib.blake2b(chunk, digest_size=16).digest()
 
 
-def encode_chunk(code, chunk: str) -> tuple[bytes, str]:
-    """Ids of the whole words of a chunk, and as JSON its two torn ends with the words next to them.
+def encode_chunk(code, chunk: str) -> tuple[bytes, list]:
+    """Ids of the whole words of a chunk, and its two torn ends with the words next to them.
 
-    ``[head, tail, first words, their id counts, last words, their id counts]``; a chunk without a
-    separator is all head, and its tail is null.
+    ``[head, tail, first words, last words]``; a chunk without a separator is all head, and its
+    tail is null.
     """
-    spaced = chunk.replace("\n", " ")
-    at, last = spaced.find(" "), spaced.rfind(" ")
-    if at < 0:
-        return b"", json.dumps([chunk, None, [], [], [], []])
-    body = chunk[at + 1 : last] if last > at else ""
-    words = [w for w in spaced[at + 1 : last].split(" ") if w] if last > at else []
-    first, final = words[:EDGE_WORDS], words[-EDGE_WORDS:]
-    ends = [chunk[:at], chunk[last + 1 :], first, code.counts(first), final, code.counts(final)]
-    return code.packed(body) if body else b"", json.dumps(ends)
+    return encode_chunks(code, [chunk])[0]
+
+
+def encode_chunks(code, chunks: list[str]) -> list[tuple[bytes, list]]:
+    """``encode_chunk`` of each, the words that are new in some megabytes being encoded together."""
+    bodies, ends = [], []
+    for chunk in chunks:
+        spaced = chunk.replace("\n", " ")
+        at, last = spaced.find(" "), spaced.rfind(" ")
+        if at < 0:
+            bodies.append("")
+            ends.append([chunk, None, [], []])
+            continue
+        body = spaced[at + 1 : last] if last > at else ""
+        bodies.append(body)
+        ends.append([chunk[:at], chunk[last + 1 :], *edges(body)])
+    return list(zip(_packed(code, bodies), ends))
+
+
+def _packed(code, bodies: list[str]) -> list[bytes]:
+    found, some, size = [], [], 0
+    for body in bodies:
+        some.append(body)
+        size += len(body)
+        if size > TOGETHER:
+            found += code.packed_all(some)
+            some, size = [], 0
+    return found + code.packed_all(some)
+
+
+def edges(body: str) -> tuple[list[str], list[str]]:
+    """The first and the last few words."""
+    first = [w for w in body.split(" ", EDGE_WORDS)[:EDGE_WORDS] if w]
+    final = [w for w in body.rsplit(" ", EDGE_WORDS)[-EDGE_WORDS:] if w]
+    if min(len(first), len(final)) < EDGE_WORDS:
+        words = [w for w in body.split(" ") if w]
+        first, final = words[:EDGE_WORDS], words[-EDGE_WORDS:]
+    return first, final
 
 
 class Joiner:
@@ -112,22 +144,22 @@ class Joiner:
     def __init__(self, code):
         self.code, self.size = code, code.size
         self.parts: list[bytes] = []
-        self.torn, self.before, self.counts = "", [], []
+        self.torn, self.before = "", []
 
-    def add(self, ids: bytes, ends: str) -> None:
-        head, tail, first, first_counts, final, final_counts = json.loads(ends)
+    def add(self, ids: bytes, ends: list) -> None:
+        head, tail, first, final = ends
         if tail is None:
             self.torn += head
             return
-        self._join(head, first, first_counts, ids)
+        self._join(head, first, ids)
         self.parts.append(ids)
-        self.torn, self.before, self.counts = tail, final, final_counts
+        self.torn, self.before = tail, final
 
     def close(self) -> bytes:
-        self._join("", [], [], b"")
+        self._join("", [], b"")
         return b"".join(self.parts)
 
-    def _join(self, head: str, after: list[str], after_counts: list[int], ids: bytes) -> None:
+    def _join(self, head: str, after: list[str], ids: bytes) -> None:
         """Encodes the torn word with whole words around it, more until both sides agree."""
         word = self.torn + head
         if not word:
@@ -135,8 +167,8 @@ class Joiner:
         done = self.parts[-1] if self.parts else b""
         for reach in range(1, EDGE_WORDS + 1):
             left, right = self.before[-reach:], after[:reach]
-            old = sum(self.counts[-reach:]) * self.size if left else 0
-            new = sum(after_counts[:reach]) * self.size if right else 0
+            counts = self.code.counts([*left, *right])
+            old, new = sum(counts[: len(left)]) * self.size, sum(counts[len(left) :]) * self.size
             # As one text: only the library itself can tell whether words look at each other.
             window = self.code.whole(" ".join([*left, word, *right]))
             if window[:old] == done[len(done) - old :] and window[len(window) - new :] == ids[:new]:
@@ -191,8 +223,10 @@ def encode(docs: DataFrame, tokenizer: str, with_ids: bool = False) -> DataFrame
                 for chunk in chunks:
                     if (name := name_of(chunk)) in left:
                         left.discard(name)
-                        rows.append((name, *encode_chunk(code, chunk.decode())))
+                        rows.append((name, chunk.decode()))
             if rows:
+                coded = encode_chunks(code, [chunk for _, chunk in rows])
+                rows = [(name, ids, json.dumps(ends)) for (name, _), (ids, ends) in zip(rows, coded)]
                 kinds = [pa.binary(), pa.binary(), pa.string()]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*rows), kinds)],
@@ -213,12 +247,16 @@ def encode(docs: DataFrame, tokenizer: str, with_ids: bool = False) -> DataFrame
             out = []
             known = batch.column(2)
             texts_ = unpacked(batch)
+            places = []
             for i, chunks in enumerate(chunks_of(texts_)):
-                held = {k["name"]: (k["ids"], k["ends"]) for k in known[i].as_py() or ()}
+                held = {k["name"]: (k["ids"], json.loads(k["ends"])) for k in known[i].as_py() or ()}
+                places.append([held.get(name_of(c)) or c for c in chunks] if held else chunks)
+            own = [place.decode() for row in places for place in row if isinstance(place, bytes)]
+            coded = iter(encode_chunks(code, own))
+            for row in places:
                 joiner = Joiner(code)
-                for chunk in chunks:
-                    have = held.get(name_of(chunk)) if held else None
-                    joiner.add(*(have or encode_chunk(code, chunk.decode())))
+                for place in row:
+                    joiner.add(*(next(coded) if isinstance(place, bytes) else place))
                 ids = np.frombuffer(joiner.close(), code.dtype).tolist()
                 decoded = decode(code, ids)
                 row = (

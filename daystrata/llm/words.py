@@ -18,6 +18,34 @@ MEMO_ENTRIES = 150_000
 CODED_BYTES = 128 << 20
 _ENTRY_BYTES = 200
 
+#: Rules of a tokenizer file under which letters are a unit of their own and case does not count.
+_LETTERS_APART = {
+    "normalizer": {
+        "type": "Sequence",
+        "normalizers": [
+            {"type": "NFC"},
+            {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+            {"type": "Lowercase"},
+        ],
+    },
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {
+                "type": "Split",
+                "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+                "behavior": "Removed",
+                "invert": True,
+            },
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
+#: The lower-case letters of Latin-1 that a line begins with, and what follows them. In Latin-1 nothing
+#: composes, and lower case does not depend on neighbours.
+_LETTERS = re.compile("^([a-z\u00aa\u00b5\u00ba\u00df-\u00f6\u00f8-\u00ff]*)(.*)$", re.MULTILINE)
+_BEYOND_LATIN = re.compile("[^\0-\u00ff]")
+
 #: A key with one of so many parts of all rows is joined apart.
 HOT = 200
 
@@ -162,7 +190,8 @@ class WordCoder:
     always begins a token at a space that a non-space follows, and always cuts on both sides of a
     line end between non-spaces, so ids of such units joined are the ids of the text.
     Otherwise: a vocabulary with word ends that drops white space, where any space or line end
-    separates words.
+    separates words. If the file's rules are those of ``_LETTERS_APART``, the letters a word begins with are
+    looked up in lower case, apart from what follows them; new ones are encoded many in one text.
     """
 
     _doubled = re.compile(r"\s\s")
@@ -186,7 +215,10 @@ class WordCoder:
         self._spaced: np.ndarray | None = None
         self._first: dict[str, bytes] = {}
         self._later: dict[str, bytes] = {}
+        self._letters: dict[str, bytes] = {"": b""}
+        self.letters_held = 0
         self._line_end = self._exact(["\n"])[0]
+        self._lower = None if bytelevel else self._of_lower(path)
 
     def _exact(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
@@ -198,20 +230,38 @@ class WordCoder:
 
     def packed(self, text: str) -> bytes:
         if not self.bytelevel:
-            return b"".join(self._known(self._first, text.replace("\n", " ").split(" "), False))
+            return self.packed_all([text])[0]
         if self._doubled.search(text):
             return b"".join(self._known(self._first, self._units(text), False))
         words = text.replace("\n", " \n").split(" ")
         first = self._known(self._first, words[:1], False)
         return b"".join(first + self._known(self._later, words[1:], True))
 
+    def packed_all(self, texts: list[str]) -> list[bytes]:
+        """``packed`` of some texts, their new words being encoded together."""
+        if self.bytelevel:
+            return [self.packed(text) for text in texts]
+        split = [text.replace("\n", " ").split(" ") for text in texts]
+        self._forget()
+        memo = self._first
+        new = list(set().union(*split).difference(memo))
+        if self._lower is not None:
+            new = self._add_apart(new)
+        self._add(memo, set(new), False)
+        return [b"".join(map(memo.__getitem__, words)) for words in split]
+
     def whole(self, text: str) -> bytes:
         """The library's ids of a text taken as one, whatever is known of its words."""
         return self._exact([text])[0]
 
     def counts(self, words: list[str]) -> list[int]:
         """Ids per word, for words that stand alone."""
-        return [len(x) // self.size for x in self._known(self._first, words, False)]
+        if self.bytelevel:
+            return [len(x) // self.size for x in self._known(self._first, words, False)]
+        try:
+            return [len(self._first[word]) // self.size for word in words]
+        except KeyError:
+            return [len(x) // self.size for x in self.packed_all(words)]
 
     @staticmethod
     def _units(text: str) -> list[str]:
@@ -227,10 +277,11 @@ class WordCoder:
         """Finds the ids of all words of some texts that are not known yet, in one library call."""
         first: set[str] = set()
         later: set[str] = set()
+        if not self.bytelevel:
+            self.packed_all(texts)
+            return
         for text in texts:
-            if not self.bytelevel:
-                first.update(text.replace("\n", " ").split(" "))
-            elif self._doubled.search(text):
+            if self._doubled.search(text):
                 first.update(self._units(text))
             else:
                 words = text.replace("\n", " \n").split(" ")
@@ -254,6 +305,9 @@ class WordCoder:
             self._first.clear()
             self._later.clear()
             self.held = 0
+        if self.letters_held > self.limit:
+            self._letters = {"": b""}
+            self.letters_held = 0
 
     def _add(self, memo: dict[str, bytes], words: set[str], spaced: bool) -> None:
         held = len(memo)
@@ -270,6 +324,65 @@ class WordCoder:
         memo.update(zip(new, exact))
         self.held += _ENTRY_BYTES * (len(memo) - held) + sum(map(len, words))
 
+    def _of_lower(self, path: str):
+        """The library's tokenizer of words in lower case, if its file's rules set letters apart."""
+        import json
+
+        from tokenizers import Tokenizer
+
+        with open(path, encoding="utf-8") as file:
+            rules = json.load(file)
+        if any(rules[name] != rule for name, rule in _LETTERS_APART.items()):
+            return None
+        suffix = rules["model"].get("end_of_word_suffix")
+        if not suffix:
+            return None
+        tokens = map(self.library.id_to_token, range(self.library.get_vocab_size()))
+        self._ends = np.array([(token or "").endswith(suffix) for token in tokens])
+        self._added = [token["content"] for token in rules["added_tokens"]]
+        # The model itself, without the normalizer that would leave such words as they are.
+        lower = Tokenizer(self.library.model)
+        lower.pre_tokenizer = self.library.pre_tokenizer
+        return lower
+
+    def _add_apart(self, words: list[str]) -> list[str]:
+        """Puts the ids of words together from their letters' and those of what follows; gives the words that
+        this is not known to be right for."""
+        every = "\n".join(words)
+        lower = every.lower()
+        # An added token is found before any rule is applied, also behind or in letters.
+        added = [token for token in self._added if token in every or token in lower]
+        left = []
+        if added or _BEYOND_LATIN.search(every):
+            for word in words:
+                if _BEYOND_LATIN.search(word) or any(t in word or t in word.lower() for t in added):
+                    left.append(word)
+            words = list(set(words).difference(left))
+            lower = "\n".join(words).lower()
+        parts = _LETTERS.findall(lower) if words else []
+        letters, first = self._letters, self._first
+        self._add_letters({head for head, _ in parts}.difference(letters))
+        self._add(first, {rest for _, rest in parts}.difference(first), False)
+        first.update((w, letters[h] + first[r]) for w, (h, r) in zip(words, parts, strict=True))
+        self.held += _ENTRY_BYTES * len(words) + len(lower)
+        return left
+
+    def _add_letters(self, words: set[str]) -> None:
+        """Encodes many words of lower-case letters as one text, and cuts its ids behind each token that ends a
+        word. Words of a text that gives another number of such tokens are encoded one by one."""
+        new, memo = list(words), self._letters
+        chunks = [new[at : at + 200] for at in range(0, len(new), 200)]
+        found = self._lower.encode_batch_fast([" ".join(c) for c in chunks], add_special_tokens=False)
+        for chunk, one in zip(chunks, found):
+            ids = np.array(one.ids, self.dtype)
+            ends = ((np.flatnonzero(self._ends[ids]) + 1) * self.size).tolist()
+            if len(ends) == len(chunk):
+                data = ids.tobytes()
+                memo.update(zip(chunk, map(data.__getitem__, map(slice, [0, *ends[:-1]], ends))))
+            else:
+                memo.update(zip(chunk, self._exact(chunk)))
+        self.letters_held += _ENTRY_BYTES * len(new) + sum(map(len, new))
+
     def _add_joined(self, memo: dict[str, bytes], words: list[str]) -> None:
         """Encodes many words as one text, and cuts its ids where a token begins with a space, as none but the
         first of each word does. Words of a text that gives another number of such tokens are left out."""
