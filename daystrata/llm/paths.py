@@ -4,9 +4,10 @@ Documents with equal shingle sets form one class, found by a hash of the set; th
 classes. A class's minhash values are its tokens. In each run a class follows the tokens that a hash
 of the path so far selects, so similar classes tend to follow the same ones; classes on one path
 share a bucket. Small buckets are compared pair by pair, large ones are split again by further
-tokens, and runs repeat until the target recall. What passes forms clusters, inside which every pair is
-then checked exactly, block against block, so links are neither missed within a cluster nor ever
-listed: a block pair gives its members' link counts and a spanning forest.
+tokens, and runs repeat until the target recall. What passes forms clusters. One of more than a block is
+split first: linked sets share one of their rarest shingles, so members without such a shingle in common
+part. Inside a cluster every pair is then checked exactly, block against block, so links are neither missed
+within a cluster nor ever listed: a block pair gives its members' link counts and a spanning forest.
 """
 
 from __future__ import annotations
@@ -47,6 +48,8 @@ BUCKET, LEVELS, FOLLOW = 48, 2, 2.0
 RETIRED = 0.95
 #: Classes of one block in the exact check.
 BLOCK = 900
+#: Frequent shingles of large clusters that are told apart from rare ones, 16 bytes each for every worker.
+FREQUENT = 250_000
 
 _KEYS = ["doc_key", "text_key"]
 
@@ -123,7 +126,6 @@ def _followed(classes: DataFrame, runs: int, share: float) -> DataFrame:
                 )
 
     columns = ["node", "tokens"] if start else ["node", "tokens", "path"]
-    # A class that follows one token twice on a path is on it once.
     return classes.select(columns).mapInArrow(run, "path bigint, node binary")
 
 
@@ -138,8 +140,12 @@ def _compared(buckets: DataFrame) -> DataFrame:
                 nodes = [m["node"].as_py() for m in members]
                 marks = b"".join(m["marks"].as_py() for m in members)
                 values = np.frombuffer(marks, "u1").reshape(len(nodes), TOKENS)
-                alike = (values[:, None] == values[None]).sum(2) >= least
-                pairs.update(_forest(nodes, alike))
+                # Some rows at a time, as each takes 64 bytes against every member.
+                alike = [
+                    (values[at : at + 256, None] == values[None]).sum(2, dtype=np.uint8) >= least
+                    for at in range(0, len(nodes), 256)
+                ]
+                pairs.update(_forest(nodes, np.concatenate(alike)))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([p[k] for p in pairs], pa.binary()) for k in (0, 1)], names=["a", "b"]
             )
@@ -147,6 +153,29 @@ def _compared(buckets: DataFrame) -> DataFrame:
     return buckets.mapInArrow(run, "a binary, b binary")
 
 
+def _bucketed(rows: DataFrame, marked: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
+    """Edges ``(a, b)`` from buckets of up to ``most`` members, and the ``(path, node)`` of larger ones."""
+    rows = checkpointed(rows)
+    sizes = rows.groupBy("path").agg(F.count("*").alias("n")).where("n > 1")
+    shared = checkpointed(rows.join(sizes, "path"))
+    small = shared.where(F.col("n") <= most).join(marked, "node")
+    buckets = small.groupBy("path").agg(F.collect_list(F.struct("node", "marks")).alias("m"))
+    return _compared(buckets.select("m")), shared.where(F.col("n") > most).select("path", "node")
+
+
+def _joined(large: DataFrame) -> DataFrame:
+    """``(a, b)`` that joins all members of a bucket, unseen."""
+    centre = large.groupBy("path").agg(F.min("node").alias("b"))
+    joined = large.join(centre, "path").where("node <> b")
+    return joined.select(F.col("node").alias("a"), "b")
+
+
+def _marked(classes: DataFrame) -> DataFrame:
+    """``(node, marks)``: a byte of each token tells members of a bucket apart, as others agree in it by one
+    chance in 256."""
+    return classes.select("node", F.unhex(F.regexp_replace(F.hex("tokens"), "(..)......", "$1")).alias("marks"))
+
+
 def _forest(nodes: list[bytes], linked: np.ndarray) -> list[tuple[bytes, bytes]]:
     """Pairs that join each connected part of a small graph to its least member."""
     label = np.arange(len(nodes), dtype=np.int32)
@@ -221,31 +250,21 @@ def candidates(classes: DataFrame, recall: float = RECALL) -> DataFrame:
     leave the bucket, as whatever links with them is alike to it too; the others are split further.
     """
     similar = SIMILAR[0] / SIMILAR[1]
-    # A byte of each token tells members of a bucket apart: others agree in it by one chance in 256.
-    marks = F.unhex(F.regexp_replace(F.hex("tokens"), "(..)......", "$1"))
-    marked = classes.select("node", marks.alias("marks"))
+    marked = _marked(classes)
     # On average one shared token of a linked pair is followed in a run.
-    rows = _followed(classes, runs_for(recall), 1 / similar).distinct()
+    rows = _followed(classes, runs_for(recall), 1 / similar)
     edges = None
     for level in range(LEVELS):
-        rows = checkpointed(rows)
-        sizes = rows.groupBy("path").agg(F.count("*").alias("n")).where("n > 1")
-        shared = checkpointed(rows.join(sizes, "path"))
-        small = shared.where(F.col("n") <= BUCKET).join(marked, "node")
-        buckets = small.groupBy("path").agg(F.collect_list(F.struct("node", "marks")).alias("m"))
-        found = _compared(buckets.select("m"))
+        found, large = _bucketed(rows, marked, BUCKET)
         edges = found if edges is None else edges.unionAll(found)
-        large = shared.where(F.col("n") > BUCKET).select("path", "node")
         if level == LEVELS - 1:
-            # Still large: alike in many tokens. All its members go on to the exact check together.
-            centre = large.groupBy("path").agg(F.min("node").alias("b"))
-            joined = large.join(centre, "path").where("node <> b")
-            return edges.unionAll(joined.select(F.col("node").alias("a"), "b")).distinct()
+            # Still large: alike in many tokens. All its members go on together, to be split if they are many.
+            return edges.unionAll(_joined(large)).distinct()
         centred = checkpointed(_centred(large, marked))
         near = centred.where(F.col("alike") >= similar - SLACK).where("node <> centre")
         edges = edges.unionAll(near.select(F.col("node").alias("a"), F.col("centre").alias("b")))
         rest = centred.where(F.col("alike") < RETIRED).select("path", "node")
-        rows = _followed(rest.join(classes, "node"), 1, FOLLOW / similar).distinct()
+        rows = _followed(rest.join(classes, "node"), 1, FOLLOW / similar)
     return edges
 
 
@@ -275,6 +294,60 @@ def components(edges: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("node"), F.col("b").alias("root")).unionAll(roots)
 
 
+def prefix(keys: np.ndarray, often: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The rarest of a set's distinct keys, so many that linked sets have one of theirs in common.
+
+    Sets that link share all but ``q - p`` in ``q`` of either's members, so under any one order of all keys
+    each has a shared one among its first that many and one more. Keys that ``often`` (sorted) lacks come first.
+    """
+    p, q = SIMILAR
+    size = len(keys) - -(-p * len(keys) // q) + 1
+    n = np.zeros(len(keys), np.int64)
+    if len(often):
+        at = np.minimum(np.searchsorted(often, keys), len(often) - 1)
+        n = np.where(often[at] == keys, counts[at], 0)
+    return keys[np.lexsort((keys, n))[:size]]
+
+
+def _parted(sets: DataFrame, marked: DataFrame) -> DataFrame:
+    """``(node, root)`` of large clusters split, with linked members in one part; ``sets``: ``(root, node,
+    set)``. Members without links may be left out.
+
+    Members that share one of their rarest shingles are compared by marks, as in ``candidates``, or joined
+    if they are more than a block. Which shingles count as rare decides on the parts, never on the links.
+    """
+
+    def named(batch):
+        for root, node, held in zip(*(column.to_pylist() for column in batch.columns)):
+            start = mixed(np.frombuffer(root[:8], "<u8"))
+            yield node, mixed(np.frombuffer(held, "<u8") ^ start)
+
+    def every(batches):
+        for batch in slices(batches):
+            keys = [k for _, k in named(batch)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64))], names=["path"])
+
+    counts = sets.mapInArrow(every, "path bigint").groupBy("path").agg(F.count("*").alias("n"))
+    found = counts.where(F.col("n") > BUCKET).orderBy(F.desc("n"), "path").limit(FREQUENT).toArrow()
+    often = found["path"].to_numpy().view(np.uint64)
+    order = np.argsort(often)
+    known = sets.sparkSession.sparkContext.broadcast((often[order], found["n"].to_numpy()[order]))
+
+    def rarest(batches):
+        for batch in slices(batches):
+            nodes, firsts = zip(*((node, prefix(keys, *known.value)) for node, keys in named(batch)))
+            names = [node for node, first in zip(nodes, firsts) for _ in range(len(first))]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(firsts).view(np.int64)), pa.array(names, pa.binary())],
+                names=["path", "node"],
+            )
+
+    # A repeated document's set is there twice.
+    rows = sets.mapInArrow(rarest, "path bigint, node binary").distinct()
+    edges, large = _bucketed(rows, marked, BLOCK)
+    return components(edges.unionAll(_joined(large)).distinct())
+
+
 def _blocks(sets: DataFrame) -> DataFrame:
     """``(node, links, other)``: per block pair, links of each node, and the node that spans with it.
 
@@ -373,14 +446,11 @@ def groups(docs: DataFrame, recall: float = RECALL, block: int = BLOCK) -> DataF
         )
     )
     clusters = checkpointed(components(candidates(classes.select("node", "tokens"), recall)))
-    sizes = clusters.groupBy("root").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    sizes = clusters.groupBy("root").agg((F.count("*") > block).alias("large"))
     placed = (
         clusters.join(sizes, "root")
         .join(classes.select("node", "n_docs", "least"), "node")
-        .select(
-            "root", "node", "n_docs", "blocks", "least.doc_key", "least.text_key",
-            F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("own"),
-        )
+        .select("root", "large", "node", "n_docs", "least.doc_key", "least.text_key")
     )
 
     def sets_of(batches):
@@ -390,9 +460,19 @@ def groups(docs: DataFrame, recall: float = RECALL, block: int = BLOCK) -> DataF
             yield batch.set_column(at, "set", pa.array(sets, pa.binary()))
 
     texts = keyed_texts(docs).join(placed, _KEYS)
-    sets = texts.select("root", "blocks", "own", "node", "n_docs", "text").mapInArrow(
-        sets_of, "root binary, blocks int, own int, node binary, n_docs bigint, set binary"
+    sets = checkpointed(
+        texts.select("root", "large", "node", "n_docs", "text").mapInArrow(
+            sets_of, "root binary, large boolean, node binary, n_docs bigint, set binary"
+        )
     )
+    large = sets.where("large")
+    parts = checkpointed(_parted(large.select("root", "node", "set"), _marked(classes)))
+    sizes = parts.groupBy("root").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("own")
+    parted = large.drop("root").join(parts.join(sizes, "root"), "node")
+    whole = sets.where("not large").withColumn("blocks", F.lit(1))
+    columns = ["root", "blocks", "node", "n_docs", "set"]
+    sets = whole.select(columns).unionAll(parted.select(columns)).withColumn("own", own)
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     paired = sets.select("*", other).select(
         "root", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
