@@ -50,6 +50,8 @@ RETIRED = 0.95
 BLOCK = 900
 #: Frequent shingles of large clusters that are told apart from rare ones, 16 bytes each for every worker.
 FREQUENT = 250_000
+#: Bits for each document whose set is asked for, and their most.
+SPARSE, MOST_BITS = 16, 1 << 26
 
 _KEYS = ["doc_key", "text_key"]
 
@@ -348,6 +350,44 @@ def _parted(sets: DataFrame, marked: DataFrame) -> DataFrame:
     return components(edges.unionAll(_joined(large)).distinct())
 
 
+def _sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``(doc_key, text_key, set)`` of the documents that ``wanted`` has by its keys, and by chance of some more,
+    which a join leaves out: most documents are in no cluster, and their texts are not shuffled."""
+    size = 1 << max(wanted.count() * SPARSE, 64).bit_length()
+    top = np.uint64(64 - (min(size, MOST_BITS).bit_length() - 1))
+
+    def places(batch):
+        doc, text = (batch.column(k).to_numpy().view(np.uint64) for k in (0, 1))
+        return mixed(doc ^ mixed(text)) >> top
+
+    def bits(batches):
+        for batch in batches:
+            at = places(batch)
+            bit = np.uint64(1) << (at & np.uint64(63))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array((at >> np.uint64(6)).view(np.int64)), pa.array(bit.view(np.int64))],
+                names=["word", "bits"],
+            )
+
+    found = wanted.select(*_KEYS).mapInArrow(bits, "word bigint, bits bigint")
+    found = found.groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    words = np.zeros(min(size, MOST_BITS) >> 6, np.uint64)
+    words[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
+    held = docs.sparkSession.sparkContext.broadcast(words)
+
+    def run(batches):
+        for batch in slices(batches):
+            at = places(batch)
+            bit = held.value[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)
+            batch = batch.filter(pa.array(bit.astype(bool)))
+            sets = [shingles(text.split()).astype("<u8").tobytes() for text in raw_texts(batch)]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:2], pa.array(sets, pa.binary())], names=[*_KEYS, "set"]
+            )
+
+    return keyed_texts(docs).mapInArrow(run, "doc_key bigint, text_key bigint, set binary")
+
+
 def _blocks(sets: DataFrame) -> DataFrame:
     """``(node, links, other)``: per block pair, links of each node, and the node that spans with it.
 
@@ -453,18 +493,9 @@ def groups(docs: DataFrame, recall: float = RECALL, block: int = BLOCK) -> DataF
         .select("root", "large", "node", "n_docs", "least.doc_key", "least.text_key")
     )
 
-    def sets_of(batches):
-        for batch in slices(batches):
-            sets = [shingles(text.split()).astype("<u8").tobytes() for text in raw_texts(batch)]
-            at = batch.schema.get_field_index("text")
-            yield batch.set_column(at, "set", pa.array(sets, pa.binary()))
-
-    texts = keyed_texts(docs).join(placed, _KEYS)
-    sets = checkpointed(
-        texts.select("root", "large", "node", "n_docs", "text").mapInArrow(
-            sets_of, "root binary, large boolean, node binary, n_docs bigint, set binary"
-        )
-    )
+    placed = checkpointed(placed)
+    sets = _sets_of(docs, placed).join(placed, _KEYS)
+    sets = checkpointed(sets.select("root", "large", "node", "n_docs", "set"))
     large = sets.where("large")
     parts = checkpointed(_parted(large.select("root", "node", "set"), _marked(classes)))
     sizes = parts.groupBy("root").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))

@@ -1,10 +1,11 @@
-"""Clusters of more than a block are split by rare shingles."""
+"""Clusters of more than a block are split by rare shingles, and only clustered documents' sets are shuffled."""
 
 import collections
 import random
 
 import brute
 import numpy as np
+from pyspark.sql import functions as F
 
 from daystrata.llm import paths
 
@@ -87,3 +88,17 @@ def test_linked_sets_share_one_of_their_rarest_keys():
     keys = np.arange(5, dtype=np.uint64)
     assert paths.prefix(keys, keys[:4], np.array([9, 7, 8, 9])).tolist() == [4, 1]
     assert len(paths.prefix(keys[:1], keys[:0], np.zeros(0, int))) == 1
+
+
+def test_sets_are_made_of_all_wanted_documents_and_few_others(spark):
+    rng = random.Random(6)
+    docs = frame(spark, [(i, " ".join(line(rng, 9))) for i in range(3000)] + [(None, None), (7, None)])
+    keys = paths.keyed_texts(docs).select("doc_key", "text_key")
+    wanted = keys.where("doc_key % 100 = 7 or doc_key < 0")
+    got = paths._sets_of(docs, wanted)
+    assert got.join(wanted, ["doc_key", "text_key"]).count() == wanted.count() == 32
+    assert got.count() < 500
+    text = docs.where("doc_id = 107").first()["text"]
+    held = got.where("doc_key = 107").select(F.col("set").alias("s")).first()["s"]
+    assert np.frombuffer(held, "<u8").tolist() == paths.shingles(text.encode().split()).tolist()
+    assert paths._sets_of(docs, wanted.where("false")).count() == 0
