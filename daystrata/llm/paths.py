@@ -324,12 +324,15 @@ def _parted(sets: DataFrame, marked: DataFrame) -> DataFrame:
             start = mixed(np.frombuffer(root[:8], "<u8"))
             yield node, mixed(np.frombuffer(held, "<u8") ^ start)
 
-    def every(batches):
+    def repeated(batches):
         for batch in slices(batches):
-            keys = [k for _, k in named(batch)]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64))], names=["path"])
+            keys, n = np.unique(np.concatenate([k for _, k in named(batch)]), return_counts=True)
+            # What is frequent is there more than once in some of the slices.
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys[n > 1].view(np.int64)), pa.array(n[n > 1])], names=["path", "n"]
+            )
 
-    counts = sets.mapInArrow(every, "path bigint").groupBy("path").agg(F.count("*").alias("n"))
+    counts = sets.mapInArrow(repeated, "path bigint, n bigint").groupBy("path").agg(F.sum("n").alias("n"))
     found = counts.where(F.col("n") > BUCKET).orderBy(F.desc("n"), "path").limit(FREQUENT).toArrow()
     often = found["path"].to_numpy().view(np.uint64)
     order = np.argsort(often)

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 50_000
 BROADCAST_BYTES = 16 << 20
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def reader(spark: SparkSession, pattern: str = "*") -> DataFrameReader:
     """Reader for the files of a whole directory tree whose names match."""
@@ -68,9 +70,16 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
 def checkpointed(df: DataFrame) -> DataFrame:
     """Runs ``df`` once and keeps its rows in the shared checkpoint folder.
 
-    A session without a checkpoint folder is given one below ``spark.checkpoint.dir``.
+    A session without a checkpoint folder is given one below ``spark.checkpoint.dir``. The shuffles that led to
+    the rows are removed from disk, which else waits for the driver to collect its garbage.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(scratch_dir(df.sparkSession, "checkpoint"))
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(scratch_dir(spark, "checkpoint"))
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        # A frame keeps the setting that it was made with.
+        return df.select("*").checkpoint(eager=True)
+    finally:
+        spark.conf.set(_CLEANUP, before)

@@ -2,12 +2,14 @@
 
 import collections
 import random
+import time
 
 import brute
 import numpy as np
 from pyspark.sql import functions as F
 
 from daystrata.llm import paths
+from daystrata.sources.files import checkpointed
 
 
 def word(rng):
@@ -102,3 +104,21 @@ def test_sets_are_made_of_all_wanted_documents_and_few_others(spark):
     held = got.where("doc_key = 107").select(F.col("set").alias("s")).first()["s"]
     assert np.frombuffer(held, "<u8").tolist() == paths.shingles(text.encode().split()).tolist()
     assert paths._sets_of(docs, wanted.where("false")).count() == 0
+
+
+def test_shuffles_go_once_their_rows_are_checkpointed(spark):
+    def written():
+        env = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get()
+        names = env.blockManager().diskBlockManager().getAllFiles().mkString(" ")
+        return {name for name in names.split() if "shuffle_" in name}
+
+    before = written()
+    counted = spark.range(1000).groupBy((F.col("id") % 10).alias("k")).count()
+    kept = checkpointed(counted)
+    for _ in range(50):
+        if not written() - before:
+            break
+        time.sleep(0.1)
+    assert not written() - before
+    assert kept.join(counted, ["k", "count"]).count() == 10
+    assert checkpointed(counted).count() == 10
